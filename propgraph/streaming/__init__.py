@@ -1,0 +1 @@
+"""The reference has no streams of its own, so there is nothing to build here yet."""
