@@ -19,10 +19,12 @@ RESERVED = (ID, SOURCE_ID, DEST_ID, CONCEPT_TYPE, EDGE_LABEL)
 ROOT_CONCEPT = "thing"
 DEFAULT_LABEL = "hasEntity"
 
-# Bookkeeping columns of this library: who may see an element, and is it hidden.
+# Bookkeeping columns of this library: who may see an element, is it hidden, and which
+# written segment of a stored graph it is in.
 VISIBILITY = "_visibility"
 HIDDEN = "_hidden"
-BOOKKEEPING = (VISIBILITY, HIDDEN)
+SEGMENT = "_segment"
+BOOKKEEPING = (VISIBILITY, HIDDEN, SEGMENT)
 
 
 def type_column(element_type: str) -> str:

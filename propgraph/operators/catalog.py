@@ -8,29 +8,17 @@ element type), so like a StructType it lives on the driver; `properties_frame` a
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DataType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DataType, StringType, StructField, StructType
 
-from propgraph.columns import (
-    BOOKKEEPING, CONCEPT_TYPE, DEST_ID, EDGE_LABEL, ID, RESERVED, ROOT_CONCEPT, SOURCE_ID, VERTEX,
-)
+from propgraph.columns import BOOKKEEPING, RESERVED, ROOT_CONCEPT, reserved_columns
 from propgraph.functions.types import property_type, same_type, spark_type, widens
 
 CONCEPT = "concept"
 RELATIONSHIP = "relationship"
 
-PROPERTIES_SCHEMA = (
-    "name string, type string, display_name string, concept string, system_property boolean, "
-    "user_visible boolean, searchable boolean, updatable boolean, addable boolean, "
-    "text_hint string, column string"
-)
-TYPES_SCHEMA = (
-    "kind string, name string, display_name string, parent string, source string, "
-    "target string, user_visible boolean"
-)
-
 
 @dataclass(frozen=True)
 class Property:
@@ -66,6 +54,17 @@ class ElementType:
     user_visible: bool = True
 
 
+def _row_schema(entry: type) -> StructType:
+    flags = ("bool", "bool | None")
+    return StructType([
+        StructField(f.name, BooleanType() if f.type in flags else StringType()) for f in fields(entry)
+    ])
+
+
+PROPERTIES_SCHEMA = _row_schema(Property)
+TYPES_SCHEMA = _row_schema(ElementType)
+
+
 @dataclass(frozen=True)
 class Catalog:
     properties: tuple[Property, ...] = ()
@@ -127,12 +126,13 @@ def infer_schema(catalog: Catalog, element_type: str) -> StructType:
 
     Fixed order: reserved columns first, then the properties from Z to A.
     """
-    shown = sorted((p for p in catalog.properties if p.user_visible), key=lambda p: p.name)
-    fields = [StructField(p.name, p.spark_type) for p in shown]
-    fields.append(StructField(ID, StringType(), False))
-    types = (CONCEPT_TYPE,) if element_type == VERTEX else (EDGE_LABEL, SOURCE_ID, DEST_ID)
-    fields.extend(StructField(name, StringType(), False) for name in types)
-    return StructType(fields[::-1])
+    visible = (p for p in catalog.properties if p.user_visible)
+    shown = sorted(visible, key=lambda p: p.name, reverse=True)
+    reserved = reversed(reserved_columns(element_type))
+    return StructType(
+        [StructField(name, StringType(), False) for name in reserved]
+        + [StructField(p.name, p.spark_type) for p in shown]
+    )
 
 
 def conflicting_casts(catalog: Catalog, schema: StructType, allow_lossy: bool = False) -> dict[str, DataType]:

@@ -2,7 +2,7 @@
 
 Layout below the root folder:
 
-* `vertices/segment=<name>/_conceptType=<type>/*.parquet`, `edges/segment=<name>/_edgeLabel=...`:
+* `vertices/_segment=<name>/_conceptType=<type>/*.parquet`, `edges/_segment=<name>/_edgeLabel=...`:
   written once, never changed. One commit writes at most one segment per element kind.
 * `_state/version=<n>/`: one row saying which segments are live and what the catalog holds.
   Writing it is the commit; until then readers see the version before.
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from propgraph.columns import (
-    DEST_ID, EDGE, HIDDEN, ID, SOURCE_ID, VERTEX, VISIBILITY, is_true, named, reserved_columns,
+    DEST_ID, EDGE, HIDDEN, ID, SEGMENT, SOURCE_ID, VERTEX, VISIBILITY, is_true, named, reserved_columns,
     type_column,
 )
 from propgraph.operators.catalog import (
@@ -37,7 +37,6 @@ from propgraph.operators.mutate import (
 from propgraph.options import GraphOptions, require_choice
 from propgraph.sources.elements import PropertyGraph
 
-SEGMENT = "segment"
 MODES = ("append", "overwrite", "overwrite_where", "overwrite_dynamic")
 
 _SEGMENT = StructType([
@@ -50,8 +49,8 @@ _STATE_SCHEMA = StructType([
     StructField("next_id", LongType()),
     StructField("vertices", ArrayType(_SEGMENT)),
     StructField("edges", ArrayType(_SEGMENT)),
-    StructField("properties", ArrayType(StructType.fromDDL(PROPERTIES_SCHEMA))),
-    StructField("types", ArrayType(StructType.fromDDL(TYPES_SCHEMA))),
+    StructField("properties", ArrayType(PROPERTIES_SCHEMA)),
+    StructField("types", ArrayType(TYPES_SCHEMA)),
     StructField("retired_columns", ArrayType(StringType())),
 ])
 

@@ -1,0 +1,37 @@
+"""Compare a query's rows with those of its SQL, values and column names alike."""
+
+from __future__ import annotations
+
+import datetime
+import math
+from pathlib import Path
+
+import duckdb
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for file in sorted(Path(sf_dir).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    return connection
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value)
+    if isinstance(value, (bool, int)):
+        return str(value)
+    if isinstance(value, datetime.datetime):
+        return value.replace(tzinfo=None).isoformat()
+    return str(value)
+
+
+def rows_of(names: list[str], rows) -> list[tuple[str, ...]]:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(_plain(r[i]) for i in order) for r in rows)
+
+
+def expected(connection, statement: str):
+    result = connection.execute(statement)
+    names = [d[0] for d in result.description]
+    return sorted(names), rows_of(names, result.fetchall()), dict(zip(names, [str(d[1]) for d in result.description]))
