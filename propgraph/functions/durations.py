@@ -11,6 +11,7 @@ sign on every part.
 
 from __future__ import annotations
 
+from functools import reduce
 from numbers import Number
 
 from pyspark.sql import Column
@@ -34,9 +35,13 @@ def _amount(value: Column | Number | str) -> Column:
     return (value if isinstance(value, Column) else F.lit(value)).cast(_EXACT)
 
 
-def _whole(value: Column) -> Column:
-    """Integer part towards zero."""
-    return F.when(value >= 0, F.floor(value)).otherwise(F.ceil(value)).cast("bigint")
+def _total(*terms: tuple[Column | Number | str, int]) -> Column:
+    """Exact sum of components times their unit; literal zeros drop out."""
+    products = [
+        _amount(value) * F.lit(unit) for value, unit in terms
+        if isinstance(value, (Column, str)) or value != 0
+    ]
+    return reduce(lambda a, b: a + b, products, F.lit(0).cast(_EXACT))
 
 
 def make_duration(months=0, weeks=0, days=0, hours=0, minutes=0, seconds=0) -> Column:
@@ -44,22 +49,19 @@ def make_duration(months=0, weeks=0, days=0, hours=0, minutes=0, seconds=0) -> C
 
     Null if any component is null.
     """
-    months = _amount(months)
-    whole_months = _whole(months)
-    month_rest = ((months - whole_months) * F.lit(SECONDS_PER_MONTH)).cast(_EXACT)
-    month_days = _whole(month_rest / SECONDS_PER_DAY)
-
-    all_days = (_amount(weeks) * DAYS_PER_WEEK + _amount(days)).cast(_EXACT)
-    whole_days = _whole(all_days)
-
-    all_seconds = (
-        (month_rest - month_days * SECONDS_PER_DAY)
-        + (all_days - whole_days) * SECONDS_PER_DAY
-        + _amount(hours) * 3600 + _amount(minutes) * 60 + _amount(seconds)
-    ).cast(_EXACT)
-    whole_seconds = F.floor(all_seconds).cast("bigint")
-    nanos = ((all_seconds - whole_seconds) * F.lit(NANOS_PER_SECOND)).cast("int")
-    return duration(whole_months, whole_days + month_days, whole_seconds, nanos)
+    # Written so that each component occurs few times: expressions are trees, and every
+    # repeated part is planned again. Casts to bigint cut towards zero.
+    all_months = _total((months, 1))
+    all_days = _total((weeks, DAYS_PER_WEEK), (days, 1))
+    month_rest = (all_months % 1) * F.lit(SECONDS_PER_MONTH)
+    clock = _total((hours, 3600), (minutes, 60), (seconds, 1))
+    all_seconds = (month_rest % SECONDS_PER_DAY) + (all_days % 1) * F.lit(SECONDS_PER_DAY) + clock
+    return duration(
+        all_months,
+        all_days.cast("bigint") + (month_rest / SECONDS_PER_DAY).cast("bigint"),
+        F.floor(all_seconds),
+        F.pmod(all_seconds, F.lit(1)).cast("decimal(10,9)") * F.lit(NANOS_PER_SECOND),
+    )
 
 
 def duration(months: Column, days: Column, seconds: Column, nanoseconds: Column) -> Column:
@@ -83,40 +85,37 @@ def _div(amount: Column, unit: int) -> Column:
     return F.call_function("div", amount, F.lit(unit).cast("bigint"))
 
 
-def _part(amount: Column, unit: str) -> Column:
-    return F.when(amount != 0, F.concat(amount.cast("string"), F.lit(unit))).otherwise("")
+def _unless_zero(amount: Column, *text: Column) -> Column:
+    return F.when(amount != 0, F.concat(*text))
 
 
 def duration_text(months: Column, days: Column, seconds: Column, nanoseconds: Column) -> Column:
     """ISO-8601 text, such as P1Y2M3DT4H5M6.5S; PT0S when every part is zero."""
     # Seconds are rounded down, so a negative time with nanoseconds has a magnitude
     # one second smaller and the complement of the nanoseconds.
-    borrow = (seconds < 0) & (nanoseconds > 0)
-    magnitude = F.when(borrow, -(seconds + 1)).otherwise(F.abs(seconds))
-    fraction = F.when(borrow, F.lit(NANOS_PER_SECOND) - nanoseconds).otherwise(nanoseconds)
-    sign = F.when(seconds < 0, F.lit("-")).otherwise(F.lit(""))
-
-    def clock_part(amount: Column, unit: str) -> Column:
-        return F.when(amount != 0, F.concat(sign, amount.cast("string"), F.lit(unit))).otherwise("")
-
-    whole = F.pmod(magnitude, F.lit(60))
-    digits = F.rtrim(F.lpad(fraction.cast("string"), 9, "0"), F.lit("0"))
-    second_part = (
-        F.when(fraction != 0, F.concat(sign, whole.cast("string"), F.lit("."), digits, F.lit("S")))
-        .otherwise(clock_part(whole, "S"))
-    )
-    clock = F.concat(
-        clock_part(_div(magnitude, 3600), "H"),
-        clock_part(_div(F.pmod(magnitude, F.lit(3600)), 60), "M"),
-        second_part,
-    )
-    calendar = F.concat(
-        _part(_div(months, 12), "Y"),
-        _part(months % 12, "M"),
-        _part(days, "D"),
+    borrow = ((seconds < 0) & (nanoseconds > 0)).cast("int")
+    whole = F.abs(seconds + borrow)
+    fraction = F.abs(nanoseconds - borrow * NANOS_PER_SECOND)
+    sign = F.when(seconds < 0, "-").otherwise("")
+
+    def part(amount: Column, unit: str, sign: Column | None = None) -> Column:
+        shown = amount.cast("string")
+        return _unless_zero(amount, *([] if sign is None else [sign]), shown, F.lit(unit))
+
+    digits = F.rtrim(F.concat(F.lit("."), F.lpad(fraction.cast("string"), 9, "0")), F.lit("0"))
+    rest = whole % 60
+    second_part = F.when((rest != 0) | (fraction != 0), F.concat(
+        sign, rest.cast("string"), F.when(fraction != 0, digits).otherwise(""), F.lit("S")
+    ))
+    no_clock = (seconds == 0) & (nanoseconds == 0)
+    # concat_ws leaves out the parts that are null.
+    text = F.concat_ws(
+        "", F.lit("P"),
+        part(_div(months, 12), "Y"), part(months % 12, "M"), part(days, "D"),
+        F.when(~no_clock, "T"),
+        part(_div(whole, 3600), "H", sign), part(_div(whole % 3600, 60), "M", sign), second_part,
     )
-    text = F.concat(F.lit("P"), calendar, F.when(clock != "", F.concat(F.lit("T"), clock)).otherwise(""))
-    return F.when(text == "P", "PT0S").otherwise(text)
+    return F.when((months == 0) & (days == 0) & no_clock, "PT0S").otherwise(text)
 
 
 def duration_seconds(value: Column) -> Column:

@@ -21,7 +21,8 @@ def instant(value: Column) -> Column:
     return value.cast("timestamp")
 
 
-def _as_is(dtype: DataType) -> bool:
+def stored_as_is(dtype: DataType) -> bool:
+    """Does a scalar of this type need no conversion to be stored?"""
     if isinstance(dtype, TimestampNTZType):
         return False
     return type(dtype) in PROPERTY_TYPES or isinstance(dtype, (StringType, DecimalType))
@@ -37,7 +38,7 @@ def stored_value(value: Column, dtype: DataType) -> Column:
     property_type(dtype)  # rejects structs that are no durations
     if isinstance(dtype, ArrayType):
         element = dtype.elementType
-        if _as_is(element) and not isinstance(element, BinaryType):
+        if stored_as_is(element) and not isinstance(element, BinaryType):
             return value
         if isinstance(element, ArrayType):
             return F.transform(value, F.to_json)
@@ -50,4 +51,4 @@ def stored_value(value: Column, dtype: DataType) -> Column:
         return instant(value)
     if isinstance(dtype, (MapType, VariantType)):
         return F.to_json(value)
-    return value if _as_is(dtype) else value.cast("string")
+    return value if stored_as_is(dtype) else value.cast("string")

@@ -119,7 +119,7 @@ PREDICATES = {
     "f_and": ("v", "balance >= 1000 AND balance <= 5000", "balance"),
     "f_or": ("v", "size = 43 OR size = 39 OR size = 99", "size"),
     "f_not": ("v", "NOT segment = 'BUILDING'", "segment"),
-    "f_not_date": ("v", "NOT CAST(odate AS DATE) = DATE '1998-10-03'", "odate"),
+    "f_not_date": ("v", "NOT CAST(odate AS DATE) = DATE '1999-02-02'", "odate"),
     "f_ne": ("v", "status <> 'F'", "status"),
     "f_is_null": ("v", "name IS NULL", "name"),
     "f_is_not_null": ("v", "balance IS NOT NULL", "balance"),
@@ -132,8 +132,8 @@ PREDICATES = {
     "f_concept_and_prop": ("v", "_conceptType = 'customer' AND balance > 10", "_conceptType, balance"),
     "f_eq_string": ("v", "name = 'small ring'", "name"),
     "f_eq_number": ("v", "size = 20", "size"),
-    "f_eq_date": ("v", "CAST(odate AS DATE) = DATE '1998-10-03'", "odate"),
-    "f_eq_timestamp": ("v", "odate = TIMESTAMP '1998-10-03 00:00:00'", "odate"),
+    "f_eq_date": ("v", "CAST(odate AS DATE) = DATE '1999-02-02'", "odate"),
+    "f_eq_timestamp": ("v", "odate = TIMESTAMP '1999-02-02 00:00:00'", "odate"),
     "f_gt": ("v", "size > 20", "size"),
     "f_ge": ("v", "size >= 20", "size"),
     "f_lt": ("v", "size < 20", "size"),
@@ -142,7 +142,7 @@ PREDICATES = {
     "f_ge_timestamp": ("v", "odate >= TIMESTAMP '1999-01-01 00:00:00'", "odate"),
     "f_in_number": ("v", "size IN (41, 43)", "size"),
     "f_in_string": ("v", "segment IN ('BUILDING', 'FURNITURE')", "segment"),
-    "f_in_date": ("v", "CAST(odate AS DATE) IN (DATE '1998-10-03', DATE '1999-01-05')", "odate"),
+    "f_in_date": ("v", "CAST(odate AS DATE) IN (DATE '1999-02-02', DATE '1999-02-16')", "odate"),
     "f_in_with_null": ("v", "segment IN ('BUILDING', NULL)", "segment"),
     "f_in_reserved": ("v", "_conceptType IN ('nation', 'region', 'supplier')", "_conceptType"),
     "f_like_reserved": ("e", "_edgeLabel LIKE 'in%'", "_edgeLabel, _did"),

@@ -54,11 +54,15 @@ def flat(frame: DataFrame, *columns: str) -> DataFrame:
 
 
 def vertices(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return read_elements(t.tables_graph(spark, sf_dir), VERTEX, **options)
+    return read_elements(t.tables_graph(spark, sf_dir, kinds=(VERTEX,)), VERTEX, **options)
 
 
 def edges(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return read_elements(t.tables_graph(spark, sf_dir), EDGE, **options)
+    return read_elements(t.tables_graph(spark, sf_dir, kinds=(EDGE,)), EDGE, **options)
+
+
+def key(prefix: str, *columns: str) -> Column:
+    return F.expr(t.key(prefix, *columns))
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -106,7 +110,7 @@ def _value_counts(spark: SparkSession, graph: PropertyGraph, element_type: str)
 
 
 def _schema_rows(spark: SparkSession, sf_dir: str, element_type: str) -> DataFrame:
-    graph = t.tables_graph(spark, sf_dir)
+    graph = t.tables_graph(spark, sf_dir, kinds=(element_type,))
     schema = infer_schema(graph.catalog, element_type)
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(schema.fields)]
     listed = spark.createDataFrame(rows, "position int, name string, type string")
@@ -147,20 +151,20 @@ def fetch_edge_refs(spark, sf_dir):
 
 @query
 def fetch_hidden(spark, sf_dir):
-    graph = t.tables_graph(spark, sf_dir, marked=True)
+    graph = t.tables_graph(spark, sf_dir, True, (VERTEX,))
     frame = read_elements(graph, VERTEX, authorizations=("a", "b"), fetch_hints="ALL_INCLUDING_HIDDEN")
     return flat(frame, *VERTEX_COLUMNS)
 
 
 @query
 def visible_elements(spark, sf_dir):
-    graph = t.tables_graph(spark, sf_dir, marked=True)
+    graph = t.tables_graph(spark, sf_dir, True, (VERTEX,))
     return flat(read_elements(graph, VERTEX, authorizations=("a",)), *VERTEX_COLUMNS)
 
 
 @query
 def visible_edges(spark, sf_dir):
-    graph = t.tables_graph(spark, sf_dir, marked=True)
+    graph = t.tables_graph(spark, sf_dir, True, (EDGE,))
     return flat(read_elements(graph, EDGE), *EDGE_COLUMNS)
 
 
@@ -191,7 +195,7 @@ col = F.col
 _filter_query("f_and", VERTEX, lambda: (col("balance") >= 1000) & (col("balance") <= 5000), "balance")
 _filter_query("f_or", VERTEX, lambda: (col("size") == 43) | (col("size") == 39) | (col("size") == 99), "size")
 _filter_query("f_not", VERTEX, lambda: ~(col("segment") == "BUILDING"), "segment")
-_filter_query("f_not_date", VERTEX, lambda: ~(col("odate").cast("date") == F.lit("1998-10-03").cast("date")), "odate")
+_filter_query("f_not_date", VERTEX, lambda: ~(col("odate").cast("date") == F.lit("1999-02-02").cast("date")), "odate")
 _filter_query("f_ne", VERTEX, lambda: col("status") != "F", "status")
 _filter_query("f_is_null", VERTEX, lambda: col("name").isNull(), "name")
 _filter_query("f_is_not_null", VERTEX, lambda: col("balance").isNotNull(), "balance")
@@ -205,8 +209,8 @@ _filter_query("f_concept_and_prop", VERTEX,
               lambda: (col(CONCEPT_TYPE) == "customer") & (col("balance") > 10), CONCEPT_TYPE, "balance")
 _filter_query("f_eq_string", VERTEX, lambda: col("name") == "small ring", "name")
 _filter_query("f_eq_number", VERTEX, lambda: col("size") == 20, "size")
-_filter_query("f_eq_date", VERTEX, lambda: col("odate").cast("date") == F.lit("1998-10-03").cast("date"), "odate")
-_filter_query("f_eq_timestamp", VERTEX, lambda: col("odate") == instant(F.lit("1998-10-03T02:00:00+02:00")), "odate")
+_filter_query("f_eq_date", VERTEX, lambda: col("odate").cast("date") == F.lit("1999-02-02").cast("date"), "odate")
+_filter_query("f_eq_timestamp", VERTEX, lambda: col("odate") == instant(F.lit("1999-02-02T02:00:00+02:00")), "odate")
 _filter_query("f_gt", VERTEX, lambda: col("size") > 20, "size")
 _filter_query("f_ge", VERTEX, lambda: col("size") >= 20, "size")
 _filter_query("f_lt", VERTEX, lambda: col("size") < 20, "size")
@@ -216,7 +220,7 @@ _filter_query("f_ge_timestamp", VERTEX, lambda: col("odate") >= instant(F.lit("1
 _filter_query("f_in_number", VERTEX, lambda: col("size").isin(41, 43), "size")
 _filter_query("f_in_string", VERTEX, lambda: col("segment").isin("BUILDING", "FURNITURE"), "segment")
 _filter_query("f_in_date", VERTEX,
-              lambda: col("odate").cast("date").isin(*[F.lit(d).cast("date") for d in ("1998-10-03", "1999-01-05")]),
+              lambda: col("odate").cast("date").isin(*[F.lit(d).cast("date") for d in ("1999-02-02", "1999-02-16")]),
               "odate")
 _filter_query("f_in_with_null", VERTEX, lambda: col("segment").isin("BUILDING", None), "segment")
 _filter_query("f_in_reserved", VERTEX, lambda: col(CONCEPT_TYPE).isin("nation", "region", "supplier"), CONCEPT_TYPE)
@@ -240,14 +244,14 @@ def _stored(spark: SparkSession, batch: DataFrame, concept: str) -> DataFrame:
 
 @query
 def types_scalar(spark, sf_dir):
-    key = F.col("o_orderkey")
+    number = F.col("o_orderkey")
     batch = t.table(spark, sf_dir, "orders").select(
-        t.key("o", "o_orderkey").alias(ID),
+        key("o", "o_orderkey").alias(ID),
         (F.col("o_orderstatus") == "O").alias("v_boolean"),
-        F.pmod(key, F.lit(100)).cast("byte").alias("v_byte"),
-        F.pmod(key, F.lit(30000)).cast("short").alias("v_short"),
-        F.pmod(key, F.lit(1000000)).cast("int").alias("v_int"),
-        key.alias("v_long"),
+        F.pmod(number, F.lit(100)).cast("byte").alias("v_byte"),
+        F.pmod(number, F.lit(30000)).cast("short").alias("v_short"),
+        F.pmod(number, F.lit(1000000)).cast("int").alias("v_int"),
+        number.alias("v_long"),
         F.col("o_totalprice").cast("float").alias("v_float"),
         F.col("o_totalprice").alias("v_double"),
         F.col("o_totalprice").cast("decimal(14,2)").alias("v_decimal"),
@@ -285,7 +289,7 @@ def types_array(spark, sf_dir):
             members(F.trunc(F.col("l_shipdate").cast("date"), "year")).alias("years"),
             members(F.date_trunc("year", F.col("l_shipdate").cast("timestamp"))).alias("moments"),
         )
-        .select(t.key("o", "l_orderkey").alias(ID), "flags", "numbers", "discounts", "opens", "years", "moments")
+        .select(key("o", "l_orderkey").alias(ID), "flags", "numbers", "discounts", "opens", "years", "moments")
     )
     frame = _stored(spark, batch, "order")
 
@@ -307,7 +311,7 @@ def types_array(spark, sf_dir):
 
 @query
 def types_array_float(spark, sf_dir):
-    batch = t.table(spark, sf_dir, "embeddings").select(t.key("e", "vec_id").alias(ID), "embedding", "label")
+    batch = t.table(spark, sf_dir, "embeddings").select(key("e", "vec_id").alias(ID), "embedding", "label")
     return _stored(spark, batch, "embedding").select(
         ID, "label", F.size("embedding").alias("n"),
         F.element_at("embedding", 1).cast("double").alias("first"),
@@ -323,7 +327,7 @@ def _duration_fields(name: str, prefix: str = "") -> list[Column]:
 def duration_make(spark, sf_dir):
     months = F.pmod(F.col("o_orderkey"), F.lit(14)) + F.lit(0.75).cast("decimal(3,2)")
     batch = t.table(spark, sf_dir, "orders").select(
-        t.key("o", "o_orderkey").alias(ID),
+        key("o", "o_orderkey").alias(ID),
         make_duration(months=months, hours=F.pmod(F.col("o_orderkey"), F.lit(50)), seconds=1).alias("span"),
     )
     return _stored(spark, batch, "order").select(ID, *_duration_fields("span"))
@@ -332,7 +336,7 @@ def duration_make(spark, sf_dir):
 @query
 def duration_array(spark, sf_dir):
     batch = t.table(spark, sf_dir, "documents").select(
-        t.key("d", "doc_id").alias(ID),
+        key("d", "doc_id").alias(ID),
         F.array(
             make_duration(seconds=F.col("n_chars") + F.lit(0.5).cast("decimal(2,1)")),
             make_duration(weeks=F.length("text") / F.lit(4).cast("decimal(1,0)")),
@@ -349,7 +353,7 @@ def duration_array(spark, sf_dir):
 def duration_order(spark, sf_dir):
     """Ordering durations by their length, the stand-in for comparing them."""
     frame = t.table(spark, sf_dir, "orders").select(
-        t.key("o", "o_orderkey").alias(ID),
+        key("o", "o_orderkey").alias(ID),
         make_duration(months=F.pmod(F.col("o_orderkey"), F.lit(14)), hours=F.pmod(F.col("o_orderkey"), F.lit(50)))
         .alias("span"),
     )
@@ -389,14 +393,14 @@ def _owing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stored_vertices(spark, sf_dir):
     store = _store(spark)
-    store.write(t.tables_graph(spark, sf_dir).vertices, ANY_VERTEX, type_from_column=True)
+    store.write(t.tables_graph(spark, sf_dir, kinds=(VERTEX,)).vertices, ANY_VERTEX, type_from_column=True)
     return _state(store, VERTEX, "name", "balance", "price", "odate", "n_chars")
 
 
 @query
 def stored_edges(spark, sf_dir):
     store = _store(spark)
-    store.write(t.tables_graph(spark, sf_dir).edges, ANY_EDGE, type_from_column=True)
+    store.write(t.tables_graph(spark, sf_dir, kinds=(EDGE,)).edges, ANY_EDGE, type_from_column=True)
     return _state(store, EDGE, SOURCE_ID, DEST_ID, "odate", "quantity", "lines")
 
 
@@ -468,7 +472,7 @@ def upsert_latest(spark, sf_dir):
     store = _store(spark)
     store.write(t.customers(spark, sf_dir), CUSTOMER)
     rows = t.table(spark, sf_dir, "orders").select(
-        t.key("c", "o_custkey").alias(ID), F.col("o_orderkey").alias("last_order"),
+        key("c", "o_custkey").alias(ID), F.col("o_orderkey").alias("last_order"),
         F.col("o_totalprice").alias("last_price"),
     )
     store.write(rows, CUSTOMER, order_by="last_order")
@@ -480,8 +484,8 @@ def upsert_edges(spark, sf_dir):
     store = _store(spark)
     store.write(t.placed(spark, sf_dir), PLACED)
     finished = t.table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F").select(
-        t.key("placed:", "o_orderkey").alias(ID), t.key("c", "o_custkey").alias(SOURCE_ID),
-        t.key("o", "o_orderkey").alias(DEST_ID), F.lit("placed").alias(EDGE_LABEL),
+        key("placed:", "o_orderkey").alias(ID), key("c", "o_custkey").alias(SOURCE_ID),
+        key("o", "o_orderkey").alias(DEST_ID), F.lit("placed").alias(EDGE_LABEL),
         F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"),
     )
     new = t.customer_nations(spark, sf_dir)
@@ -530,40 +534,40 @@ def register_properties_of_tables(spark, sf_dir):
     customers, parts = t.customers(spark, sf_dir), t.parts(spark, sf_dir)
     catalog = register_properties(register_properties(Catalog(), customers.schema), parts.schema)
     listed = properties_frame(spark, catalog).drop("column")
-    counts = _value_counts(spark, graph_of([customers, parts], [t.placed(spark, sf_dir)]), VERTEX)
+    counts = _value_counts(spark, graph_of(spark, [customers, parts]), VERTEX)
     return listed.join(counts, "name")
 
 
-def _type_counts(spark: SparkSession, sf_dir: str, element_type: str) -> DataFrame:
-    read = vertices if element_type == VERTEX else edges
+def _type_counts(graph: PropertyGraph, element_type: str) -> DataFrame:
     kind = type_column(element_type)
-    return read(spark, sf_dir).groupBy(F.col(kind).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return read_elements(graph, element_type).groupBy(F.col(kind).alias("name")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def register_types_of_tables(spark, sf_dir):
     catalog = register_types(register_types(Catalog(), CONCEPT, t.CONCEPTS), RELATIONSHIP, t.LABELS)
     listed = types_frame(spark, catalog, CONCEPT).union(types_frame(spark, catalog, RELATIONSHIP))
-    counts = _type_counts(spark, sf_dir, VERTEX).union(_type_counts(spark, sf_dir, EDGE))
+    graph = t.tables_graph(spark, sf_dir)
+    counts = _type_counts(graph, VERTEX).union(_type_counts(graph, EDGE))
     return listed.join(counts, "name", "left")
 
 
 @query
 def list_properties_of_graph(spark, sf_dir):
-    graph = t.tables_graph(spark, sf_dir)
+    graph = t.tables_graph(spark, sf_dir, kinds=(VERTEX,))
     return list_properties(spark, graph.catalog).join(_value_counts(spark, graph, VERTEX), "name")
 
 
 @query
 def list_labels_of_graph(spark, sf_dir):
-    graph = t.tables_graph(spark, sf_dir)
-    return list_labels(spark, graph.catalog).join(_type_counts(spark, sf_dir, EDGE), "name")
+    graph = t.tables_graph(spark, sf_dir, kinds=(EDGE,))
+    return list_labels(spark, graph.catalog).join(_type_counts(graph, EDGE), "name")
 
 
 @query
 def list_concepts_of_graph(spark, sf_dir):
-    graph = t.tables_graph(spark, sf_dir)
-    return list_concepts(spark, graph.catalog).join(_type_counts(spark, sf_dir, VERTEX), "name", "left")
+    graph = t.tables_graph(spark, sf_dir, kinds=(VERTEX,))
+    return list_concepts(spark, graph.catalog).join(_type_counts(graph, VERTEX), "name", "left")
 
 
 @query
@@ -577,9 +581,9 @@ def drop_property_of_store(spark, sf_dir):
 
 @query
 def drop_concept_of_graph(spark, sf_dir):
-    graph = t.tables_graph(spark, sf_dir)
+    graph = t.tables_graph(spark, sf_dir, kinds=(VERTEX,))
     catalog = drop_type(graph.catalog, CONCEPT, "document")
-    counts = _type_counts(spark, sf_dir, VERTEX)
+    counts = _type_counts(graph, VERTEX)
     return counts.join(list_concepts(spark, catalog), "name", "left").select(
         "name", "n", F.col("parent").isNotNull().alias("registered")
     )
@@ -587,9 +591,9 @@ def drop_concept_of_graph(spark, sf_dir):
 
 @query
 def drop_label_of_graph(spark, sf_dir):
-    graph = t.tables_graph(spark, sf_dir)
+    graph = t.tables_graph(spark, sf_dir, kinds=(EDGE,))
     catalog = drop_type(graph.catalog, RELATIONSHIP, "contains")
-    counts = _type_counts(spark, sf_dir, EDGE)
+    counts = _type_counts(graph, EDGE)
     return counts.join(list_labels(spark, catalog), "name", "left").select(
         "name", "n", F.col("source").isNotNull().alias("registered")
     )
@@ -600,17 +604,17 @@ def drop_label_of_graph(spark, sf_dir):
 
 @query
 def match_label(spark, sf_dir):
-    return match_vertices(t.tables_graph(spark, sf_dir), "part").select("name", "brand", "size")
+    return match_vertices(t.tables_graph(spark, sf_dir, kinds=(VERTEX,)), "part").select("name", "brand", "size")
 
 
 @query
 def match_label_prop(spark, sf_dir):
-    return match_vertices(t.tables_graph(spark, sf_dir), "customer", {"segment": "BUILDING"}).select(ID, "name")
+    return match_vertices(t.tables_graph(spark, sf_dir, kinds=(VERTEX,)), "customer", {"segment": "BUILDING"}).select(ID, "name")
 
 
 @query
 def match_edge_label(spark, sf_dir):
-    frame = match_edges(t.tables_graph(spark, sf_dir), "contains", predicate=F.col("quantity") > 45)
+    frame = match_edges(t.tables_graph(spark, sf_dir, kinds=(EDGE,)), "contains", predicate=F.col("quantity") > 45)
     return frame.select(ID, SOURCE_ID, DEST_ID, "quantity")
 
 

@@ -6,16 +6,15 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from propgraph.columns import (
-    EDGE, HIDDEN, ID, VERTEX, VISIBILITY, named, null_of, property_columns, reserved_columns,
-    type_column,
+    BOOKKEEPING, EDGE, HIDDEN, ID, RESERVED, VERTEX, VISIBILITY, named, null_of, reserved_columns,
 )
 from propgraph.functions.types import same_type
-from propgraph.functions.values import stored_value
+from propgraph.functions.values import stored_as_is, stored_value
 from propgraph.operators.catalog import (
     CONCEPT, RELATIONSHIP, Catalog, conflicting_casts, infer_schema, register_properties,
     register_types,
@@ -35,6 +34,10 @@ class PropertyGraph:
         return self.vertices if element_type == VERTEX else self.edges
 
 
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    return spark.range(0).select(*[null_of(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def project(frame: DataFrame, schema: StructType, keep: Iterable[str] | None = None) -> DataFrame:
     """Columns of `schema` by name and in its order; names the frame lacks are null.
 
@@ -54,37 +57,43 @@ def project(frame: DataFrame, schema: StructType, keep: Iterable[str] | None = N
     return frame.select(*[column(f) for f in schema.fields])
 
 
-def assemble(frames: Sequence[DataFrame], element_type: str, catalog: Catalog | None = None) -> tuple[DataFrame, Catalog]:
+def assemble(
+    spark: SparkSession, frames: Sequence[DataFrame], element_type: str, catalog: Catalog | None = None
+) -> tuple[DataFrame, Catalog]:
     """One wide frame over several frames of elements, with the catalog grown to fit.
 
     Each property has the type it was first registered with; narrower columns are cast
     before the union, conflicting ones rejected.
     """
     catalog = catalog or Catalog()
+    if not frames:
+        fields = [StructField(c, StringType()) for c in reserved_columns(element_type)]
+        return empty(spark, StructType(fields)), catalog
     stored = []
     for frame in frames:
-        catalog = register_properties(catalog, frame.schema)
-        casts = conflicting_casts(catalog, frame.schema)
-        types = {f.name: f.dataType for f in frame.schema.fields}
-        properties = set(property_columns(frame))
-
-        def column(name: str) -> Column:
-            value = named(name)
-            if name in properties:
-                value = stored_value(value, types[name])
-            return (value.cast(casts[name]) if name in casts else value).alias(name)
-
-        stored.append(frame.select(*[column(c) for c in frame.columns]))
+        schema = frame.schema
+        catalog = register_properties(catalog, schema)
+        casts = conflicting_casts(catalog, schema)
+        changes = {}
+        for field in schema.fields:
+            if field.name in RESERVED or field.name in BOOKKEEPING:
+                continue
+            value = stored_value(named(field.name), field.dataType)
+            if field.name in casts:
+                value = value.cast(casts[field.name])
+            if field.name in casts or not stored_as_is(field.dataType):
+                changes[field.name] = value
+        stored.append(frame.withColumns(changes) if changes else frame)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stored), catalog
 
 
 def graph_of(
-    vertices: Sequence[DataFrame], edges: Sequence[DataFrame],
-    concepts: Iterable[str] = (), labels: Iterable[str] = (),
+    spark: SparkSession, vertices: Sequence[DataFrame] = (), edges: Sequence[DataFrame] = (),
+    concepts: Iterable[str] = (), labels: Iterable[str] = (), catalog: Catalog | None = None,
 ) -> PropertyGraph:
     """A graph over frames that already carry the reserved columns."""
-    vertex_frame, catalog = assemble(vertices, VERTEX)
-    edge_frame, catalog = assemble(edges, EDGE, catalog)
+    vertex_frame, catalog = assemble(spark, vertices, VERTEX, catalog)
+    edge_frame, catalog = assemble(spark, edges, EDGE, catalog)
     catalog = register_types(catalog, CONCEPT, concepts)
     catalog = register_types(catalog, RELATIONSHIP, labels)
     return PropertyGraph(catalog, vertex_frame, edge_frame)
@@ -142,8 +151,3 @@ def read_elements(
     fetched = None if options.fetch_hints in HINTS_WITH_PROPERTIES else reserved_columns(element_type)
     frame = project(frame, schema or infer_schema(graph.catalog, element_type), fetched)
     return distribute(frame, options.partitioning, partitions, max_ranges)
-
-
-def elements(frame: DataFrame, element_type: str, type_name: str) -> DataFrame:
-    """Give a frame the type column of one concept or label."""
-    return frame.withColumn(type_column(element_type), F.lit(type_name).cast(StringType()))

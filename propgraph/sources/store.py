@@ -4,8 +4,8 @@ Layout below the root folder:
 
 * `vertices/_segment=<name>/_conceptType=<type>/*.parquet`, `edges/_segment=<name>/_edgeLabel=...`:
   written once, never changed. One commit writes at most one segment per element kind.
-* `_state/version=<n>/`: one row saying which segments are live and what the catalog holds.
-  Writing it is the commit; until then readers see the version before.
+* `_state/version=<n>/`: one JSON document saying which segments are live and what the catalog
+  holds. Writing it is the commit; until then readers see the version before.
 * `_staging/`: intermediate tables of running commits.
 
 An append writes only its own rows. Updates and deletes rewrite only the (segment, type)
@@ -14,46 +14,32 @@ folders that hold a changed row; all others stay in place. One writer at a time.
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from propgraph.columns import (
     DEST_ID, EDGE, HIDDEN, ID, SEGMENT, SOURCE_ID, VERTEX, VISIBILITY, is_true, named, reserved_columns,
     type_column,
 )
 from propgraph.operators.catalog import (
-    CONCEPT, PROPERTIES_SCHEMA, RELATIONSHIP, TYPES_SCHEMA, Catalog, ElementType, Property,
-    drop_property, drop_type, register_properties, register_types,
+    CONCEPT, RELATIONSHIP, Catalog, ElementType, Property, drop_property, drop_type,
+    register_properties, register_types,
 )
 from propgraph.operators.mutate import (
     append_elements, assign_ids, delete_where, prepare, unique_ids, update_matched,
 )
 from propgraph.options import GraphOptions, require_choice
-from propgraph.sources.elements import PropertyGraph
+from propgraph.sources.elements import PropertyGraph, empty
 
 MODES = ("append", "overwrite", "overwrite_where", "overwrite_dynamic")
 
-_SEGMENT = StructType([
-    StructField("name", StringType()),
-    StructField("types", ArrayType(StringType())),
-    StructField("retired", ArrayType(StringType())),
-])
-_STATE_SCHEMA = StructType([
-    StructField("version", LongType()),
-    StructField("next_id", LongType()),
-    StructField("vertices", ArrayType(_SEGMENT)),
-    StructField("edges", ArrayType(_SEGMENT)),
-    StructField("properties", ArrayType(PROPERTIES_SCHEMA)),
-    StructField("types", ArrayType(TYPES_SCHEMA)),
-    StructField("retired_columns", ArrayType(StringType())),
-])
-
 
 @dataclass(frozen=True)
 class Segment:
@@ -72,6 +58,26 @@ class GraphState:
     edges: tuple[Segment, ...] = ()
     catalog: Catalog = Catalog()
 
+    def to_json(self) -> str:
+        return json.dumps(asdict(self))
+
+    @classmethod
+    def from_json(cls, text: str) -> GraphState:
+        state = json.loads(text)
+
+        def segments(items: list[dict]) -> tuple[Segment, ...]:
+            return tuple(Segment(i["name"], tuple(i["types"]), tuple(i["retired"])) for i in items)
+
+        catalog = state["catalog"]
+        return cls(
+            state["version"], state["next_id"], segments(state["vertices"]), segments(state["edges"]),
+            Catalog(
+                tuple(Property(**p) for p in catalog["properties"]),
+                tuple(ElementType(**t) for t in catalog["types"]),
+                tuple(catalog["retired_columns"]),
+            ),
+        )
+
     def segments(self, element_type: str) -> tuple[Segment, ...]:
         return self.vertices if element_type == VERTEX else self.edges
 
@@ -124,41 +130,20 @@ class GraphStore:
     def state(self) -> GraphState:
         """The latest committed state; an unwritten root is an empty graph."""
         try:
-            row = (
-                self.spark.read.schema(_STATE_SCHEMA).parquet(f"{self.root}/_state")
-                .orderBy(F.col("version").desc()).first()
+            latest = (
+                self.spark.read.text(f"{self.root}/_state", wholetext=True)
+                .orderBy(F.col("version").cast("bigint").desc()).first()
             )
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            row = None
-        if row is None:
             return GraphState()
-
-        def segments(rows: list[Row]) -> tuple[Segment, ...]:
-            return tuple(Segment(r.name, tuple(r.types), tuple(r.retired)) for r in rows)
-
-        catalog = Catalog(
-            tuple(Property(**r.asDict()) for r in row.properties),
-            tuple(ElementType(**r.asDict()) for r in row.types),
-            tuple(row.retired_columns),
-        )
-        return GraphState(row.version, row.next_id, segments(row.vertices), segments(row.edges), catalog)
+        return GraphState.from_json(latest.value)
 
     def _commit(self, state: GraphState) -> None:
-        version = state.version + 1
-
-        def segments(items: tuple[Segment, ...]) -> list[tuple]:
-            return [(s.name, list(s.types), list(s.retired)) for s in items]
-
-        row = (
-            version, state.next_id, segments(state.vertices), segments(state.edges),
-            [tuple(asdict(p).values()) for p in state.catalog.properties],
-            [tuple(asdict(t).values()) for t in state.catalog.types],
-            list(state.catalog.retired_columns),
-        )
-        frame = self.spark.createDataFrame([row], _STATE_SCHEMA).drop("version").coalesce(1)
-        frame.write.mode("errorifexists").parquet(f"{self.root}/_state/version={version}")
+        document = replace(state, version=state.version + 1)
+        row = self.spark.range(0, 1, 1, 1).select(F.lit(document.to_json()).alias("value"))
+        row.write.mode("errorifexists").text(f"{self.root}/_state/version={document.version}")
 
     # ---- reading -------------------------------------------------------------------------
 
@@ -174,7 +159,7 @@ class GraphStore:
 
         live = state.segments(element_type)
         if not live:
-            stored = self.spark.createDataFrame([], schema)
+            stored = empty(self.spark, schema)
         else:
             base = f"{self.root}/{_folder(element_type)}"
             stored = (

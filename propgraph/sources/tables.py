@@ -6,11 +6,15 @@ and the branches of concepts that cannot match are dropped from the plan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from propgraph.columns import DEST_ID, EDGE, HIDDEN, ID, SOURCE_ID, VERTEX, VISIBILITY
-from propgraph.sources.elements import PropertyGraph, elements, graph_of
+from propgraph.columns import (
+    CONCEPT_TYPE, DEST_ID, EDGE, EDGE_LABEL, HIDDEN, ID, SOURCE_ID, VERTEX, VISIBILITY,
+)
+from propgraph.operators.catalog import Catalog, register_properties
+from propgraph.sources.elements import PropertyGraph, graph_of
 
 # Given schemas save a pass over the footers of every file.
 TABLES = {
@@ -29,6 +33,13 @@ TABLES = {
     "embeddings": "vec_id bigint, embedding array<float>, label int",
 }
 
+VERTEX_PROPERTIES = (
+    "name string, balance double, segment string, status string, price double, odate timestamp, "
+    "priority string, brand string, ptype string, size int, text string, lang string, "
+    "source string, n_chars bigint"
+)
+EDGE_PROPERTIES = "odate timestamp, quantity double, lines bigint"
+
 CONCEPTS = ("customer", "order", "part", "supplier", "nation", "region", "document", "user")
 LABELS = ("placed", "in_nation", "in_region", "contains")
 
@@ -37,25 +48,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def key(prefix: str, *columns: str) -> Column:
-    """Element id from a table's key columns, such as c17 or contains:3:8."""
-    parts = [F.col(c).cast("string") for c in columns]
-    return F.concat(F.lit(prefix), F.concat_ws(":", *parts) if len(parts) > 1 else parts[0])
+def key(prefix: str, *columns: str) -> str:
+    """SQL for an element id from a table's key columns, such as c17 or contains:3:8."""
+    return f"concat('{prefix}', {", ':', ".join(columns)})"
 
 
-def _marks(column: str, marked: bool) -> list[Column]:
+def _marks(column: str, marked: bool) -> list[str]:
     """Derived visibility tokens and hidden flags, by the key's remainder."""
     if not marked:
         return []
-    remainder = F.pmod(F.col(column), F.lit(3))
-    token = F.when(remainder == 0, "").when(remainder == 1, "a").otherwise("b")
-    return [token.alias(VISIBILITY), (F.pmod(F.col(column), F.lit(10)) == 0).alias(HIDDEN)]
+    return [
+        f"elt(1 + cast({column} % 3 AS int), '', 'a', 'b') AS {VISIBILITY}",
+        f"{column} % 10 = 0 AS {HIDDEN}",
+    ]
 
 
 def _vertices(frame: DataFrame, concept: str, prefix: str, column: str, marked: bool, **properties: str) -> DataFrame:
-    values = [F.col(source).alias(name) for name, source in properties.items()]
-    return elements(
-        frame.select(key(prefix, column).alias(ID), *_marks(column, marked), *values), VERTEX, concept
+    values = [f"{source} AS {name}" for name, source in properties.items()]
+    return frame.selectExpr(
+        f"{key(prefix, column)} AS {ID}", f"'{concept}' AS {CONCEPT_TYPE}", *_marks(column, marked), *values
     )
 
 
@@ -99,12 +110,14 @@ def users(spark: SparkSession, sf_dir: str, marked: bool = False) -> DataFrame:
 
 
 def _edges(
-    frame: DataFrame, label: str, own: Column, source: Column, target: Column, column: str,
-    marked: bool, **properties: str,
+    frame: DataFrame, label: str, own: str, source: str, target: str, column: str, marked: bool,
+    **properties: str,
 ) -> DataFrame:
-    values = [F.col(c).alias(name) for name, c in properties.items()]
-    ends = [own.alias(ID), source.alias(SOURCE_ID), target.alias(DEST_ID)]
-    return elements(frame.select(*ends, *_marks(column, marked), *values), EDGE, label)
+    values = [f"{c} AS {name}" for name, c in properties.items()]
+    return frame.selectExpr(
+        f"{own} AS {ID}", f"'{label}' AS {EDGE_LABEL}", f"{source} AS {SOURCE_ID}",
+        f"{target} AS {DEST_ID}", *_marks(column, marked), *values,
+    )
 
 
 def placed(spark: SparkSession, sf_dir: str, marked: bool = False) -> DataFrame:
@@ -137,10 +150,21 @@ def contains(spark: SparkSession, sf_dir: str, marked: bool = False) -> DataFram
                   key("p", "l_partkey"), "l_orderkey", marked, quantity="quantity", lines="lines")
 
 
-def tables_graph(spark: SparkSession, sf_dir: str, marked: bool = False) -> PropertyGraph:
-    """All test tables as one graph; `marked` adds visibility tokens and hidden elements."""
-    vertices = [f(spark, sf_dir, marked) for f in
-                (customers, orders, parts, suppliers, nations, regions, documents, users)]
-    edges = [f(spark, sf_dir, marked) for f in
-             (placed, customer_nations, supplier_nations, nation_regions, contains)]
-    return graph_of(vertices, edges, CONCEPTS, LABELS)
+def tables_graph(
+    spark: SparkSession, sf_dir: str, marked: bool = False, kinds: tuple[str, ...] = (VERTEX, EDGE)
+) -> PropertyGraph:
+    """All test tables as one graph; `marked` adds visibility tokens and hidden elements.
+
+    The catalog is always whole; the frames of element kinds not asked for are empty.
+    """
+    catalog = Catalog()
+    for properties in (VERTEX_PROPERTIES, EDGE_PROPERTIES):
+        catalog = register_properties(catalog, StructType.fromDDL(properties))
+    vertices = (customers, orders, parts, suppliers, nations, regions, documents, users)
+    edges = (placed, customer_nations, supplier_nations, nation_regions, contains)
+    return graph_of(
+        spark,
+        [f(spark, sf_dir, marked) for f in vertices if VERTEX in kinds],
+        [f(spark, sf_dir, marked) for f in edges if EDGE in kinds],
+        CONCEPTS, LABELS, catalog,
+    )
