@@ -38,6 +38,8 @@ from propgraph.operators.mutate import (
 from propgraph.options import GraphOptions, require_choice
 from propgraph.sources.elements import PropertyGraph, empty
 
+_SALT = "__salt"
+SALTS = 16
 MODES = ("append", "overwrite", "overwrite_where", "overwrite_dynamic")
 
 
@@ -352,8 +354,10 @@ class GraphStore:
         columns = {p.name: p.column for p in catalog.properties}
         frame = frame.select(*[named(c).alias(columns.get(c, c)) for c in frame.columns])
         if several:
-            # Tasks of even size that each hold few types; a hot type is split over many.
-            frame = frame.hint("rebalance", F.col(kind))
+            # Tasks of even size that each hold few types, so that there are few small files.
+            # The salt spreads each type over some tasks; beyond that, large ones are split.
+            salt = F.pmod(F.hash(ID), F.lit(SALTS)).alias(_SALT)
+            frame = frame.select("*", salt).hint("rebalance", F.col(kind), F.col(_SALT)).drop(_SALT)
         (
             frame.sortWithinPartitions(kind, ID).write.partitionBy(kind)
             .option(f"parquet.bloom.filter.enabled#{ID}", "true")
