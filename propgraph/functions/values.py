@@ -41,7 +41,7 @@ def stored_value(value: Column, dtype: DataType) -> Column:
         if stored_as_is(element) and not isinstance(element, BinaryType):
             return value
         if isinstance(element, ArrayType):
-            return F.transform(value, F.to_json)
+            return F.transform(value, lambda v: F.to_json(v))
         if isinstance(element, BinaryType):
             return value.cast("array<string>")
         return F.transform(value, lambda v: stored_value(v, element))

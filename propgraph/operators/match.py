@@ -24,9 +24,11 @@ def where(frame: DataFrame, predicate: Column | str) -> DataFrame:
     durations = [f.name for f in frame.schema.fields if holds_duration(f.dataType)]
     if durations:
         # Maps can be tested for null but not compared, so the analyser finds the comparison.
+        # The alias keeps it from reaching past the stand-ins to the durations themselves.
         stand_in = null_of("map<string,bigint>")
+        checked = frame.withColumns({name: stand_in for name in durations}).alias("checked")
         try:
-            frame.withColumns({name: stand_in for name in durations}).filter(predicate)
+            checked.filter(predicate)
         except AnalysisException as error:
             raise ValueError(DURATION_FILTER) from error
     return matched
