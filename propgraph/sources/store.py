@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
@@ -201,17 +203,23 @@ class GraphStore:
         require_choice(mode, MODES, "mode")
         if (where is not None) != (mode == "overwrite_where"):
             raise ValueError("'where' belongs to mode overwrite_where, and only to it")
-        element_type, kind = options.element_type, type_column(options.element_type)
         state = self.state()
         state = replace(state, catalog=register_properties(state.catalog, batch.schema))
         batch = prepare(
-            batch, element_type, options.default_type, state.catalog, type_from_column, allow_lossy
+            batch, options.element_type, options.default_type, state.catalog, type_from_column, allow_lossy
         )
+        with self._staging() as staging:
+            self._write(batch, state, options, mode, where, type_from_column, order_by, staging)
+
+    def _write(
+        self, batch: DataFrame, state: GraphState, options: GraphOptions, mode: str, where: Column | None,
+        type_from_column: bool, order_by: str | None, staging: str,
+    ) -> None:
+        element_type, kind = options.element_type, type_column(options.element_type)
         has_ids = ID in batch.columns
         batch = unique_ids(batch, order_by) if has_ids else assign_ids(batch, state.next_id)
 
         live = state.segments(element_type)
-        staging = f"{self.root}/_staging/{uuid.uuid4().hex}"
         if live and (mode == "overwrite_dynamic" or (has_ids and mode != "overwrite")):
             # Used more than once from here on: write it down, so that it is computed once
             # and the planner knows its size when it picks the join.
@@ -280,7 +288,9 @@ class GraphStore:
             if where is None:
                 changed = changed.with_segments(EDGE, ())
             else:
-                changed = self._detached(changed, self._scan(VERTEX, state).filter(where).select(ID))
+                gone = self._scan(VERTEX, state).filter(where).select(ID)
+                with self._staging() as staging:
+                    changed = self._detached(changed, gone, staging)
         self._commit(changed)
 
     def _without(self, state: GraphState, element_type: str, where: Column) -> GraphState:
@@ -294,10 +304,9 @@ class GraphStore:
         segment, _ = self._write_segment(kept, element_type, state.catalog, several=False)
         return state.plus(element_type, _retire(state.segments(element_type), touched), segment)
 
-    def _detached(self, state: GraphState, gone: DataFrame) -> GraphState:
+    def _detached(self, state: GraphState, gone: DataFrame, staging: str) -> GraphState:
         """Drop the edges whose source or destination is among the deleted ids."""
         kind = type_column(EDGE)
-        staging = f"{self.root}/_staging/{uuid.uuid4().hex}"
         gone = self._stage(gone, f"{staging}/vertices")
         edges = self._scan(EDGE, state)
         hits = [
@@ -332,6 +341,16 @@ class GraphStore:
 
     # ---- files ---------------------------------------------------------------------------
 
+    @contextmanager
+    def _staging(self) -> Iterator[str]:
+        """A folder for the tables of one commit, removed when the commit is through."""
+        path = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        try:
+            yield path
+        finally:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def _stage(self, frame: DataFrame, path: str) -> DataFrame:
         frame.write.parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
