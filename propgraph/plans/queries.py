@@ -351,14 +351,14 @@ def duration_array(spark, sf_dir):
 
 @query
 def duration_order(spark, sf_dir):
-    """Ordering durations by their length, the stand-in for comparing them."""
-    frame = t.table(spark, sf_dir, "orders").select(
+    """Ordering stored durations by their length, the stand-in for comparing them."""
+    batch = t.table(spark, sf_dir, "orders").select(
         key("o", "o_orderkey").alias(ID),
         make_duration(months=F.pmod(F.col("o_orderkey"), F.lit(14)), hours=F.pmod(F.col("o_orderkey"), F.lit(50)))
         .alias("span"),
     )
     length = duration_seconds(F.col("span"))
-    return where(frame, length > 20_000_000).select(ID, length.cast("bigint").alias("length"))
+    return where(_stored(spark, batch, "order"), length > 20_000_000).select(ID, length.cast("bigint").alias("length"))
 
 
 # ---- writes ------------------------------------------------------------------------------

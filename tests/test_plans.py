@@ -10,7 +10,7 @@ import propgraph as pg
 
 SF_DIR = "/root/testdata/sf0.001"
 # Queries that write tables while they are built; their results are plain scans.
-WRITING = ("insert", "upsert", "overwrite", "delete", "stored", "types_", "duration_make", "duration_array",
+WRITING = ("insert", "upsert", "overwrite", "delete", "stored", "types_", "duration_",
            "dangling", "drop_property")
 
 
