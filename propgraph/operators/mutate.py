@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propgraph.columns import (
@@ -14,6 +14,7 @@ from propgraph.operators.catalog import Catalog, conflicting_casts
 _BASE = "base"
 _BATCH = "batch"
 _WRITTEN = "__written"
+_NUMBER = "__number"
 
 
 def _present(value: Column, name: str) -> Column:
@@ -72,21 +73,19 @@ def unique_ids(batch: DataFrame, order_by: str | None = None) -> DataFrame:
     """One row per id. Without `order_by`, a repeated id is an error; with it, the row with
     the highest value wins (equal values: the row with the highest hash).
 
-    An aggregate, so copies of a hot id collapse before the shuffle, and the result is
-    already partitioned by id for the join that follows.
+    The check numbers the rows of each id as they pass and stops at the first second row.
+    The choice is an aggregate, so copies of a hot id collapse before the shuffle.
     """
-    others = [c for c in batch.columns if c != ID]
-    row = F.struct(*[named(c) for c in others])
     if order_by is None:
-        merged = batch.groupBy(ID).agg(F.first(row).alias("row"), F.count(F.lit(1)).alias("copies"))
+        number = F.row_number().over(Window.partitionBy(ID).orderBy(ID))
         message = F.concat(F.lit("More than one row in the batch for _id "), named(ID))
-        only = F.when(F.col("copies") > 1, F.raise_error(message)).otherwise(F.col("row"))
-        merged = merged.select(ID, only.alias("row"))
-    else:
-        rank = F.struct(named(order_by), F.xxhash64(*[named(c) for c in others]))
-        merged = batch.groupBy(ID).agg(F.max_by(row, rank).alias("row"))
+        only = F.when(F.col(_NUMBER) > 1, F.raise_error(message)).otherwise(named(ID))
+        return batch.withColumn(_NUMBER, number).withColumn(ID, only).drop(_NUMBER)
+    others = [c for c in batch.columns if c != ID]
+    rank = F.struct(named(order_by), F.xxhash64(*[named(c) for c in others]))
+    best = F.max_by(F.struct(*[named(c) for c in others]), rank).alias("row")
     values = {ID: named(ID), **{c: F.col("row").getField(c) for c in others}}
-    return merged.select(*[values[c].alias(c) for c in batch.columns])
+    return batch.groupBy(ID).agg(best).select(*[values[c].alias(c) for c in batch.columns])
 
 
 def append_elements(base: DataFrame, batch: DataFrame) -> DataFrame:
