@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows up to which a narrow side may be broadcast; beyond, Spark shuffles both sides.
 BROADCAST_ROWS = 1_000_000
@@ -19,6 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_fields(schema: StructType, ddl: str) -> StructType:
+    return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 def ascii_lower(column: Column) -> Column:
     """A-Z lower-cased, nothing else."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -1,8 +1,16 @@
 """The registered queries of this package, and SQL where it can say the same."""
 
+from propgraph.llm.decontaminate import op9_decontaminate
 from propgraph.llm.jaccard_join import op8_jaccard_join
+from propgraph.llm.line_dedup import OP6_SQL, op6_line_dedup
+from propgraph.llm.mixing import op5_mixing
+from propgraph.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op5_mixing": op5_mixing,
+    "op6_line_dedup": op6_line_dedup,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_decontaminate": op9_decontaminate,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_line_dedup": OP6_SQL}
