@@ -1,16 +1,26 @@
 """The registered queries of this package, and SQL where it can say the same."""
 
+import corpus_pipeline
+from propgraph.llm.chat import OP10_SQL, op10_chat_format
 from propgraph.llm.decontaminate import op9_decontaminate
 from propgraph.llm.jaccard_join import op8_jaccard_join
 from propgraph.llm.line_dedup import OP6_SQL, op6_line_dedup
 from propgraph.llm.mixing import op5_mixing
 from propgraph.llm.toxicity import op2_toxicity
+from propgraph.llm.url_filter import OP3_SQL, op3_url_filter
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_url_filter": op3_url_filter,
     "op5_mixing": op5_mixing,
     "op6_line_dedup": op6_line_dedup,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
+    "op10_chat_format": op10_chat_format,
+    "pipeline": corpus_pipeline.run,
+}
+ORACLES: dict[str, str] = {
+    "op3_url_filter": OP3_SQL,
+    "op6_line_dedup": OP6_SQL,
+    "op10_chat_format": OP10_SQL,
 }
-ORACLES: dict[str, str] = {"op6_line_dedup": OP6_SQL}
