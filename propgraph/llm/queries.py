@@ -4,6 +4,7 @@ import corpus_pipeline
 from propgraph.llm.chat import OP10_SQL, op10_chat_format
 from propgraph.llm.decontaminate import op9_decontaminate
 from propgraph.llm.jaccard_join import op8_jaccard_join
+from propgraph.llm.license_scan import op7_license_scan
 from propgraph.llm.line_dedup import OP6_SQL, op6_line_dedup
 from propgraph.llm.mixing import op5_mixing
 from propgraph.llm.toxicity import op2_toxicity
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op5_mixing": op5_mixing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_license_scan": op7_license_scan,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_chat_format": op10_chat_format,
