@@ -9,10 +9,12 @@ from propgraph.llm.line_dedup import OP6_SQL, op6_line_dedup
 from propgraph.llm.mixing import op5_mixing
 from propgraph.llm.toxicity import op2_toxicity
 from propgraph.llm.url_filter import OP3_SQL, op3_url_filter
+from propgraph.llm.vector_graph import op4_vector_graph
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_url_filter": op3_url_filter,
+    "op4_vector_graph": op4_vector_graph,
     "op5_mixing": op5_mixing,
     "op6_line_dedup": op6_line_dedup,
     "op7_license_scan": op7_license_scan,
