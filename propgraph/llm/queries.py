@@ -7,11 +7,13 @@ from propgraph.llm.jaccard_join import op8_jaccard_join
 from propgraph.llm.license_scan import op7_license_scan
 from propgraph.llm.line_dedup import OP6_SQL, op6_line_dedup
 from propgraph.llm.mixing import op5_mixing
+from propgraph.llm.secret_scan import op1_secret_scan
 from propgraph.llm.toxicity import op2_toxicity
 from propgraph.llm.url_filter import OP3_SQL, op3_url_filter
 from propgraph.llm.vector_graph import op4_vector_graph
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_toxicity": op2_toxicity,
     "op3_url_filter": op3_url_filter,
     "op4_vector_graph": op4_vector_graph,
