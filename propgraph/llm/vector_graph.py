@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from propgraph.llm.common import Scratch, table
 
 #: Vectors of a shard, about; edges of a point; beam of searches when building and when querying; pruning slack.
-SHARD_ROWS, DEGREE, BUILD_BEAM, QUERY_BEAM, ALPHA = 4096, 24, 40, 64, 1.2
+SHARD_ROWS, DEGREE, BUILD_BEAM, QUERY_BEAM, ALPHA = 4096, 32, 48, 96, 1.05
 #: Points searched together.
 BATCH = 512
 
