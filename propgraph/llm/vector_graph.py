@@ -163,8 +163,8 @@ def _shard_task(k: int, beam: int):
     return task
 
 
-def nearest(vectors: DataFrame, asks, k: int = 5, beam: int = QUERY_BEAM, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest others of each row of vectors for which `asks` holds.
+def nearest(vectors: DataFrame, asks: str, k: int = 5, beam: int = QUERY_BEAM, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest others of each row of vectors for which the condition `asks` holds.
 
     vectors: vec_id, embedding (array of numbers). Score is the cosine in double precision, computed
     from the original vectors for what the graphs propose; nearest first, ties to smaller vec_id. Vectors
@@ -177,7 +177,7 @@ def nearest(vectors: DataFrame, asks, k: int = 5, beam: int = QUERY_BEAM, shard_
     hold about shard_rows points; each is built and searched in one task. Queries go to every shard.
     """
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    own = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v"), asks.alias("asks")).filter(
+    own = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v"), F.expr(asks).alias("asks")).filter(
         "vec_id is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))")
     own = own.withColumn("norm", norm).filter(F.col("norm") > 0)
     scratch = Scratch(vectors.sparkSession, "vectors")
@@ -216,4 +216,4 @@ def nearest(vectors: DataFrame, asks, k: int = 5, beam: int = QUERY_BEAM, shard_
 
 def op4_vector_graph(spark, sf_dir: str) -> DataFrame:
     """The five nearest others of every vector whose id is divisible by 50."""
-    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")

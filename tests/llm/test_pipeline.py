@@ -1,0 +1,100 @@
+"""The pipeline and the registered queries over whole small tables."""
+
+import os
+from collections import defaultdict
+
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from oracle import connect, expected, rows_of
+from propgraph.llm.queries import ORACLES, QUERIES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def test_each_operator_and_the_pipeline_are_registered():
+    names = [n.split("_")[0] for n in QUERIES]
+    assert names == [f"op{k}" for k in range(1, 11)] + ["pipeline"]
+    assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "jaccard_join", "decontaminate", "mixing"]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_against_sql(spark, name):
+    frame = QUERIES[name](spark, SF_DIR)
+    names, wanted, _ = expected(connect(SF_DIR), ORACLES[name])
+    assert sorted(frame.columns) == names
+    assert rows_of(frame.columns, frame.collect()) == wanted
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """What each stage was given and what it returned."""
+    docs, out = spark.read.parquet(f"{SF_DIR}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp("stage") / "out")
+        stage(spark, docs, SF_DIR).write.parquet(path)
+        out[name] = (docs.collect(), spark.read.parquet(path))
+        docs = out[name][1]
+    return out
+
+
+def test_stages_return_documents(stages, spark):
+    columns = spark.read.parquet(f"{SF_DIR}/documents.parquet").dtypes
+    for name, (_, after) in stages.items():
+        assert after.dtypes[: len(columns)] == columns
+        assert name == "mixing" or len(after.columns) == len(columns)
+
+
+def test_filters_keep_rows_as_they_are(stages):
+    for name in ("toxicity", "jaccard_join", "decontaminate"):
+        before, after = stages[name]
+        kept = after.collect()
+        assert {tuple(r) for r in kept} <= {tuple(r) for r in before}
+        assert 0.5 * len(before) < len(kept) <= len(before)
+
+
+def test_line_stage_keeps_every_document(stages):
+    before, after = stages["line_dedup"]
+    kept = after.collect()
+    assert sorted(r.doc_id for r in kept) == sorted(r.doc_id for r in before)
+    assert all(r.n_chars == len(r.text) for r in kept)
+
+
+def test_no_near_copies_stay(stages):
+    sets = {}
+    for r in stages["jaccard_join"][1].collect():
+        words = r.text.lower().split()
+        sets[r.doc_id] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    ids = sorted(sets)
+    for k, i in enumerate(ids):
+        for j in ids[k + 1 :]:
+            union = len(sets[i] | sets[j])
+            assert not union or len(sets[i] & sets[j]) / union < 0.8
+
+
+def test_no_benchmark_items_stay(stages, spark):
+    items = [r.text for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    before, after = stages["decontaminate"]
+    gone = {r.doc_id for r in before} - {r.doc_id for r in after.collect()}
+    assert gone == {r.doc_id for r in before if any(i in r.text for i in items)}
+
+
+def test_mix_is_that_of_the_plan(stages):
+    before, after = stages["mixing"]
+    kept = after.collect()
+    size = {r.doc_id: len(r.text.split()) for r in before}
+    taken, target = defaultdict(int), {}
+    for r in kept:
+        assert r.copies > 0 and r.taken == r.copies * size[r.doc_id]
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= 0.05 * target[s] + 30 for s in target)
+
+
+def test_pipeline_runs_its_stages(stages, spark):
+    out = corpus_pipeline.run(spark, SF_DIR)
+    wanted = stages["mixing"][1]
+    assert out.columns == wanted.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, wanted.collect()))

@@ -1,0 +1,75 @@
+import numpy as np
+
+from propgraph.llm.vector_graph import beam_search, build, nearest, robust_prune
+
+SCHEMA = "vec_id long, embedding array<float>"
+ASKS = "vec_id % 10 = 0"
+
+
+def brute(data, k=5):
+    ids = [i for i, v in data if v]
+    unit = np.array([v for _, v in data if v], np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    out = {}
+    for q, i in enumerate(ids):
+        if i % 10 == 0:
+            score = unit @ unit[q]
+            order = sorted((-round(score[j], 9), ids[j]) for j in range(len(ids)) if j != q)
+            out[i] = [j for _, j in order[:k]]
+    return out
+
+
+def test_recall_over_shards_and_clusters(rows):
+    r = np.random.default_rng(0)
+    dense = r.normal(size=16) + 0.1 * r.normal(size=(300, 16))
+    data = [(k, v.tolist()) for k, v in enumerate(np.concatenate([r.normal(size=(900, 16)), dense]))]
+    out = nearest(rows(data, SCHEMA), ASKS, shard_rows=400).collect()
+    got = {}
+    for x in sorted(out, key=lambda x: (x.query_id, x.rank)):
+        got.setdefault(x.query_id, []).append(x.vec_id)
+    wanted = brute(data)
+    assert got.keys() == wanted.keys() and all(len(v) == 5 for v in got.values())
+    assert sum(len(set(got[q]) & set(wanted[q])) for q in wanted) >= 0.9 * 5 * len(wanted)
+
+
+def test_scores_ranks_and_ties(rows):
+    data = [(k, [1.0, 0.0, 0.0] if k % 2 else [float(k), 1.0, 2.0]) for k in range(1, 60)] + [(60, [1.0, 0.0, -0.0]), (61, [2.0, 0.0, 0.0])]
+    out = nearest(rows(data, SCHEMA), ASKS).collect()
+    wanted = brute(data)
+    assert {q: [x.vec_id for x in sorted(out, key=lambda x: x["rank"]) if x.query_id == q] for q in wanted} == wanted
+    assert sorted(x["rank"] for x in out if x.query_id == 60) == [1, 2, 3, 4, 5]
+    assert [x.vec_id for x in sorted(out, key=lambda x: x["rank"]) if x.query_id == 60] == [1, 3, 5, 7, 9]
+    assert {x.score for x in out if x.query_id == 60} == {1.0}
+
+
+def test_vectors_that_take_no_part(rows):
+    nan = float("nan")
+    data = [(0, None), (10, []), (20, [0.0, 0.0]), (30, [nan, 1.0]), (40, [float("inf"), 1.0]), (50, [1.0, None]), (None, [1.0, 1.0]), (60, [1.0, 0.0]),
+            (1, [1.0, 1.0]), (2, [1.0, 2.0, 3.0]), (3, [1e30, 0.0])]
+    out = nearest(rows(data, SCHEMA), ASKS).collect()
+    assert [(x.query_id, x["rank"], x.vec_id) for x in sorted(out, key=lambda x: x["rank"])] == [(60, 1, 3), (60, 2, 1)]
+    assert nearest(rows([], SCHEMA), ASKS).count() == 0
+    assert nearest(rows([(1, [1.0])], SCHEMA), ASKS).count() == 0
+    assert nearest(rows([(10, [1.0])], SCHEMA), ASKS).count() == 0
+
+
+def test_repeated_rows_and_other_columns(rows):
+    data = [(10, [1.0, 0.0], 5), (10, [1.0, 0.0], 5), (3, [1.0, 0.1], 6), (3, [1.0, 0.1], 6)]
+    out = nearest(rows(data, "vec_id long, embedding array<float>, rank int"), ASKS).collect()
+    assert sorted((x["rank"], x.vec_id) for x in out) == [(1, 3), (2, 3)]
+
+
+def test_pruning_keeps_the_nearest_and_diverse():
+    angles = np.array([0, 0.1, 0.12, 0.14, -0.3])
+    points = np.stack([np.cos(angles), np.sin(angles)], 1)
+    kept = robust_prune(points, np.array([0]), np.array([[1, 2, 3, 4, 1, -1, 0]]), 3, 1.0)
+    assert kept.tolist() == [[1, 4, -1]]
+
+
+def test_every_point_is_found_in_its_graph():
+    points = np.random.default_rng(3).normal(size=(700, 12))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    edges, start = build(points)
+    found, far = beam_search(points, edges, start, points, 64)
+    assert (found[:, 0] == np.arange(700)).mean() > 0.99
+    assert (np.diff(far, axis=1) >= 0).all()
