@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -44,56 +45,67 @@ def features(sentence: str) -> set[str]:
     return words | {s for w in words if (s := stem(w))}
 
 
-def telling(documents: list[set[str]], labels: list[int], least: float = SIGNIFICANT) -> dict[str, float]:
+def telling(texts: list[str], labels: list[int], least: float = SIGNIFICANT) -> dict[str, float]:
     """Features commoner in toxic documents than chance would have it, by the G statistic.
 
-    With each, half the logarithm of how much commoner: a word counts along with its stem.
+    With each, half the logarithm of how much commoner: a word counts along with its stem. One text's
+    features are held at a time, and counts of those that two toxic texts have.
     """
-    counts = {1: Counter(), 0: Counter()}
-    for own, label in zip(documents, labels, strict=True):
-        counts[label].update(own)
-    total = len(labels)
-    toxic = sum(labels)
+    toxic_of: Counter[str] = Counter()
+    clean_of: Counter[str] = Counter()
+    for text in (t for t, y in zip(texts, labels, strict=True) if y):
+        toxic_of.update(features(text))
+    toxic_of = Counter({f: n for f, n in toxic_of.items() if n >= 2})
+    for text in (t for t, y in zip(texts, labels, strict=True) if not y):
+        clean_of.update(f for f in features(text) if f in toxic_of)
+    total, toxic = len(labels), sum(labels)
 
     def g(a: int, b: int) -> float:
         cells = ((a, toxic), (b, total - toxic))
         share = (a + b) / total
-        return 2 * sum(
-            x * math.log(x / (n * p)) for k, n in cells for x, p in ((k, share), (n - k, 1 - share)) if x)
+        return 2 * sum(x * math.log(x / (n * p)) for k, n in cells for x, p in ((k, share), (n - k, 1 - share)) if x)
 
     return {
-        f: math.log((a + 0.5) / (counts[0][f] + 0.5) * (total - toxic + 1) / (toxic + 1)) / 2 for f, a in sorted(counts[1].items())
-        if a >= 2 and a * (total - toxic) > counts[0][f] * toxic and g(a, counts[0][f]) >= least}
+        f: math.log((a + 0.5) / (clean_of[f] + 0.5) * (total - toxic + 1) / (toxic + 1)) / 2 for f, a in sorted(toxic_of.items())
+        if a * (total - toxic) > clean_of[f] * toxic and g(a, clean_of[f]) >= least}
 
 
 def fit(texts: list[str], labels: list[int], steps: int = 150, penalty: float = 3e-4) -> dict[str, float]:
     """Weights of features by gradient steps (Adam) on the documents' mean log-likelihood; '' is the bias.
 
-    Weights start from, and are drawn to, those that `telling` gives. Both labels weigh alike, and copies of a text count once. Without documents of both labels there is
-    nothing to learn: every score is 0.
+    Weights start from, and are drawn to, those that `telling` gives. Both labels weigh alike, and
+    copies of a text count once. Without documents of both labels there is nothing to learn: every
+    score is 0.
     """
     known = dict(zip(texts, labels, strict=True))
     texts, labels = list(known), list(known.values())
     if len(set(labels)) < 2:
         return {"": -1e3}
-    bags = [[features(s) for s in _SENTENCE.findall(t)] for t in texts]
-    found = telling([set().union(*bag) for bag in bags], labels)
+    found = telling(texts, labels)
     index = {f: k for k, f in enumerate(found)}
-    bags = [[[index[f] for f in s if f in index] for s in bag] for bag in bags]
-    rows = [(d, s) for d, bag in enumerate(bags) for s in bag]
-    doc = np.array([d for d, _ in rows], np.int64)
-    row = np.repeat(np.arange(len(rows)), [len(s) for _, s in rows])
-    word = np.fromiter((f for _, s in rows for f in s), np.int64, len(row))
+    doc, row, word = array("l"), array("l"), array("l")  # of sentences with such features, and of features in them
+    plain = np.zeros(len(texts))  # sentences without
+    for d, text in enumerate(texts):
+        for sentence in _SENTENCE.finditer(text):
+            own = features(sentence[0])
+            if told := own & found.keys():
+                word.extend(sorted(index[f] for f in told))
+                row.extend([len(doc)] * len(told))
+                doc.append(d)
+            elif own:
+                plain[d] += 1
+    doc, row, word = (np.array(x, np.int64) for x in (doc, row, word))
     y = np.array(labels, float)
     share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     prior = np.array([*found.values(), -5.0])
     w, m, v = prior.copy(), 0.0, 0.0
     for t in range(1, steps + 1):
-        z = np.bincount(row, w[word], len(rows)) + w[-1]
-        hazard = np.bincount(doc, np.logaddexp(0, z), len(y))  # -log of the chance of no offending sentence
+        z = np.bincount(row, w[word], len(doc)) + w[-1]
+        # -log of the chance of no offending sentence
+        hazard = np.bincount(doc, np.logaddexp(0, z), len(y)) + plain * np.logaddexp(0, w[-1])
         pull = np.where(y == 1, -1 / np.expm1(np.maximum(hazard, 1e-12)), 1.0) * share
         slope = pull[doc] / (1 + np.exp(-z))
-        g = np.append(np.bincount(word, slope[row], len(index)), slope.sum())
+        g = np.append(np.bincount(word, slope[row], len(index)), slope.sum() + (pull * plain).sum() / (1 + np.exp(-w[-1])))
         g[:-1] += penalty * (w - prior)[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
