@@ -110,9 +110,10 @@ def _by_array(urls: DataFrame, rules: DataFrame) -> DataFrame:
     spark = urls.sparkSession
     rows = [(r.rule, r.verdict) for r in rules.collect()]  # at most ARRAY_RULES
     name = f"url-rules-{hashlib.sha256(repr(sorted(rows)).encode()).hexdigest()[:24]}.bin"
-    path = os.path.join(tempfile.mkdtemp(prefix="url-rules-"), name)
-    DigestArray.write(rows, path)
-    spark.sparkContext.addFile(path)  # each executor fetches it once, also one that comes later
+    if not any(f.endswith(f"/{name}") for f in spark.sparkContext.listFiles):
+        path = os.path.join(tempfile.mkdtemp(prefix="url-rules-"), name)
+        DigestArray.write(rows, path)
+        spark.sparkContext.addFile(path)  # each executor fetches it once, also one that comes later
     columns = urls.columns
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
