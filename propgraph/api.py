@@ -17,13 +17,13 @@ from propgraph.sources.store import GraphStore
 
 def load(
     spark: SparkSession, root: str, options: Mapping[str, str],
-    schema: StructType | None = None, partitions: int | None = None,
+    schema: StructType | None = None, partitions: int | None = None, max_ranges: int | None = None,
 ) -> DataFrame:
-    """Vertices or edges of the graph stored at `root`, as the options say."""
+    """Vertices or edges of the graph stored at `root`, as the options say; `partitions` and `max_ranges` as in `read_elements`."""
     resolved = GraphOptions.resolve(spark, options)
     return read_elements(
         GraphStore(spark, root).graph(), resolved.element_type, resolved.authorizations,
-        resolved.fetch_hints, resolved.partitioning, partitions, schema,
+        resolved.fetch_hints, resolved.partitioning, partitions, schema, max_ranges,
     )
 
 

@@ -20,11 +20,12 @@ ROOT_CONCEPT = "thing"
 DEFAULT_LABEL = "hasEntity"
 
 # Bookkeeping columns of this library: who may see an element, is it hidden, and which
-# written segment of a stored graph it is in.
+# written segment and bucket of a stored graph it is in.
 VISIBILITY = "_visibility"
 HIDDEN = "_hidden"
 SEGMENT = "_segment"
-BOOKKEEPING = (VISIBILITY, HIDDEN, SEGMENT)
+BUCKET = "_bucket"
+BOOKKEEPING = (VISIBILITY, HIDDEN, SEGMENT, BUCKET)
 
 
 def type_column(element_type: str) -> str:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass, fields, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BooleanType, DataType, StringType, StructField, StructType
@@ -72,7 +73,11 @@ class Catalog:
     retired_columns: tuple[str, ...] = ()
 
     def find(self, name: str) -> Property | None:
-        return next((p for p in self.properties if p.name == name), None)
+        return self._by_name.get(name)
+
+    @cached_property
+    def _by_name(self) -> dict[str, Property]:
+        return {p.name: p for p in self.properties}
 
     def has_type(self, kind: str, name: str) -> bool:
         return any(t.kind == kind and t.name == name for t in self.types)

@@ -4,33 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_json_string
 
-from propgraph.columns import EDGE, VERTEX, column_or_null, named, null_of, type_column
+from propgraph.columns import EDGE, VERTEX, column_or_null, named, type_column
 from propgraph.functions.types import holds_duration
 from propgraph.sources.elements import PropertyGraph, read_elements
 
+# Fixed value: the message.
 DURATION_FILTER = "Duration filters not supported"
+#: Expressions that order or equate their operands.
+_COMPARISONS = {
+    "EqualTo", "EqualNullSafe", "LessThan", "LessThanOrEqual", "GreaterThan", "GreaterThanOrEqual", "In", "InSet",
+    "Greatest", "Least", "SortArray", "ArrayContains", "ArrayMax", "ArrayMin", "ArrayDistinct",
+}
+
+
+def _compares_durations(condition) -> bool:
+    """Does an analysed expression compare, look up or sort values that are durations or arrays of them?"""
+    waiting = [condition]
+    while waiting:
+        node = waiting.pop()
+        children = node.children()
+        own = [children.apply(k) for k in range(children.size())]
+        if node.getClass().getSimpleName() in _COMPARISONS and any(
+            holds_duration(_parse_datatype_json_string(child.dataType().json())) for child in own
+        ):
+            return True
+        waiting += own
+    return False
 
 
 def where(frame: DataFrame, predicate: Column | str) -> DataFrame:
     """`filter`, but comparing a duration raises instead of comparing field by field.
 
-    Null tests of durations are fine; to order them, compare `duration_seconds`.
+    Null tests of durations and comparisons of their parts are fine; to order durations, compare
+    `duration_seconds`.
     """
     matched = frame.filter(predicate)
-    durations = [f.name for f in frame.schema.fields if holds_duration(f.dataType)]
-    if durations:
-        # Maps can be tested for null but not compared, so the analyser finds the comparison.
-        # The alias keeps it from reaching past the stand-ins to the durations themselves.
-        stand_in = null_of("map<string,bigint>")
-        checked = frame.withColumns({name: stand_in for name in durations}).alias("checked")
-        try:
-            checked.filter(predicate)
-        except AnalysisException as error:
-            raise ValueError(DURATION_FILTER) from error
+    if any(holds_duration(f.dataType) for f in frame.schema.fields):
+        if _compares_durations(matched._jdf.queryExecution().analyzed().condition()):
+            raise ValueError(DURATION_FILTER)
     return matched
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propgraph.columns import (
@@ -14,7 +14,6 @@ from propgraph.operators.catalog import Catalog, conflicting_casts
 _BASE = "base"
 _BATCH = "batch"
 _WRITTEN = "__written"
-_NUMBER = "__number"
 
 
 def _present(value: Column, name: str) -> Column:
@@ -63,24 +62,25 @@ def prepare(
 def assign_ids(frame: DataFrame, start: int) -> DataFrame:
     """Give each row a new id: a whole number from `start` up, as text, unique but with gaps.
 
-    Recomputing the frame may hand out other numbers: write it once, then read it back.
+    Recomputing the frame may hand out other numbers: write it once, then read it back, and let no
+    shuffle come between. Numbers have up to 38 digits.
     """
-    number = F.lit(start).cast("bigint") + F.monotonically_increasing_id()
+    number = F.lit(str(start)).cast("decimal(38,0)") + F.monotonically_increasing_id().cast("decimal(38,0)")
     return frame.select(number.cast("string").alias(ID), *[named(c) for c in frame.columns])
 
 
-def unique_ids(batch: DataFrame, order_by: str | None = None) -> DataFrame:
-    """One row per id. Without `order_by`, a repeated id is an error; with it, the row with
-    the highest value wins (equal values: the row with the highest hash).
+def reject_repeated_ids(written: DataFrame) -> None:
+    """Raise if two rows of a written table have one id. Only ids are read; counts combine before the shuffle."""
+    again = written.groupBy(ID).agg(F.count("*").alias("n")).filter("n > 1").select(ID).first()
+    if again is not None:
+        raise ValueError(f"More than one row in the batch for _id {again[0]}")
 
-    The check numbers the rows of each id as they pass and stops at the first second row.
-    The choice is an aggregate, so copies of a hot id collapse before the shuffle.
+
+def last_of_each_id(batch: DataFrame, order_by: str) -> DataFrame:
+    """Of the rows of each id the one with the highest value (equal values: the highest hash).
+
+    An aggregate, so copies of a hot id collapse before the shuffle.
     """
-    if order_by is None:
-        number = F.row_number().over(Window.partitionBy(ID).orderBy(ID))
-        message = F.concat(F.lit("More than one row in the batch for _id "), named(ID))
-        only = F.when(F.col(_NUMBER) > 1, F.raise_error(message)).otherwise(named(ID))
-        return batch.withColumn(_NUMBER, number).withColumn(ID, only).drop(_NUMBER)
     others = [c for c in batch.columns if c != ID]
     rank = F.struct(named(order_by), F.xxhash64(*[named(c) for c in others]))
     best = F.max_by(F.struct(*[named(c) for c in others]), rank).alias("row")
@@ -111,46 +111,17 @@ def _merged_columns(base: DataFrame, batch: DataFrame) -> list[Column]:
     return merged
 
 
-def _join_by_id(base: DataFrame, batch: DataFrame, how: str) -> DataFrame:
-    condition = named(ID, _BASE) == named(ID, _BATCH)
-    flagged = batch.withColumn(_WRITTEN, F.lit(True)).alias(_BATCH)
-    return base.alias(_BASE).join(flagged, condition, how).select(*_merged_columns(base, batch))
-
-
-def upsert_elements(base: DataFrame, batch: DataFrame) -> DataFrame:
-    """Create or update by id in one full outer join; ids must be unique on both sides.
-
-    Every column of the batch is set, a null clears it; other columns keep their values.
-    """
-    return _join_by_id(base, batch, "full")
-
-
 def update_matched(base: DataFrame, batch: DataFrame) -> DataFrame:
     """Only the updates of an upsert: base rows, those in the batch with its values.
 
     A left join, so a small batch is broadcast and the base is not shuffled.
     """
-    return _join_by_id(base, batch, "left")
-
-
-def overwrite_where(base: DataFrame, batch: DataFrame, predicate: Column) -> DataFrame:
-    """Replace the rows that meet the predicate by the batch."""
-    return append_elements(delete_where(base, predicate), batch)
+    condition = named(ID, _BASE) == named(ID, _BATCH)
+    flagged = batch.withColumn(_WRITTEN, F.lit(True)).alias(_BATCH)
+    return base.alias(_BASE).join(flagged, condition, "left").select(*_merged_columns(base, batch))
 
 
 def delete_where(base: DataFrame, predicate: Column) -> DataFrame:
     """Rows that do not meet the predicate; an unknown predicate keeps the row."""
     return base.filter(~is_true(predicate))
 
-
-def detach(edges: DataFrame, deleted: DataFrame) -> DataFrame:
-    """Edges that touch none of the deleted vertices (a frame with their `_id`)."""
-    gone = deleted.select(ID)
-    for end in (SOURCE_ID, DEST_ID):
-        edges = edges.join(gone.withColumnRenamed(ID, end), end, "left_anti").select(*edges.columns)
-    return edges
-
-
-def drop_property(frame: DataFrame, name: str) -> DataFrame:
-    """The frame without one property column."""
-    return frame.drop(name)

@@ -33,34 +33,11 @@ HINTS_WITHOUT_PROPERTIES = ("EDGE_LABELS", "EDGE_REFS", "NONE")
 HINT_WITH_HIDDEN = "ALL_INCLUDING_HIDDEN"
 
 STRATEGIES = ("none", "shard", "range")
-MAX_RANGE_PARTITIONS = 200
 
 
-def require_not_empty(value: str | Collection, message: str) -> None:
-    if len(value) == 0:
-        raise ValueError(message)
-
-
-def require_not_blank(value: str, message: str) -> None:
-    require_not_empty(value.strip(), message)
-
-
-def require_true(condition: bool, message: str) -> None:
-    if not condition:
-        raise ValueError(message)
-
-
-def require_false(condition: bool, message: str) -> None:
-    require_true(not condition, message)
-
-
-def reject(message: str) -> None:
-    raise ValueError(message)
-
-
-def require_choice(value: str, choices: Collection[str], name: str) -> str:
-    require_true(value in choices, f"Parameter '{name}' must be one of {', '.join(choices)}, not '{value}'")
-    return value
+def require_choice(value: str, choices: Collection[str], name: str) -> None:
+    if value not in choices:
+        raise ValueError(f"Parameter '{name}' must be one of {', '.join(choices)}, not '{value}'")
 
 
 @dataclass(frozen=True)
@@ -78,8 +55,9 @@ class GraphOptions:
         require_choice(self.element_type, (VERTEX, EDGE), ELEMENT_TYPE)
         require_choice(self.fetch_hints, HINTS_WITH_PROPERTIES + HINTS_WITHOUT_PROPERTIES, FETCH_HINTS)
         require_choice(self.partitioning, STRATEGIES, PARTITIONING_STRATEGY)
-        require_not_blank(self.concept_type, f"Parameter '{CONCEPT_TYPE_OPTION}' is required")
-        require_not_blank(self.label_type, f"Parameter '{LABEL_TYPE_OPTION}' is required")
+        for value, name in ((self.concept_type, CONCEPT_TYPE_OPTION), (self.label_type, LABEL_TYPE_OPTION)):
+            if not value.strip():
+                raise ValueError(f"Parameter '{name}' is required")  # fixed value: the message
 
     @property
     def default_type(self) -> str:
@@ -92,7 +70,8 @@ class GraphOptions:
         An empty value counts as missing. `authorizations` is one token: it is not split.
         """
         unknown = sorted(set(options) - set(OPTION_NAMES))
-        require_false(bool(unknown), f"Unknown options: {', '.join(unknown)}")
+        if unknown:
+            raise ValueError(f"Unknown options: {', '.join(unknown)}")
 
         def setting(name: str) -> str:
             return options.get(name) or spark.conf.get(CONF_PREFIX + name, "") or ""
@@ -101,7 +80,8 @@ class GraphOptions:
             return setting(name).strip() or default
 
         element_type = setting(ELEMENT_TYPE)
-        require_not_empty(element_type, f"Parameter '{ELEMENT_TYPE}' is required")
+        if not element_type:
+            raise ValueError(f"Parameter '{ELEMENT_TYPE}' is required")  # fixed value: the message
         token = optional(AUTHORIZATIONS, "")
         return cls(
             element_type=element_type,

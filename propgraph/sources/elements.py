@@ -19,7 +19,7 @@ from propgraph.operators.catalog import (
     CONCEPT, RELATIONSHIP, Catalog, conflicting_casts, infer_schema, register_properties,
     register_types,
 )
-from propgraph.options import HINT_WITH_HIDDEN, HINTS_WITH_PROPERTIES, MAX_RANGE_PARTITIONS, GraphOptions
+from propgraph.options import HINT_WITH_HIDDEN, HINTS_WITH_PROPERTIES, GraphOptions
 
 
 @dataclass(frozen=True)
@@ -111,19 +111,19 @@ def visible(frame: DataFrame, authorizations: Iterable[str] = (), include_hidden
 
 def distribute(
     frame: DataFrame, strategy: str, partitions: int | None = None,
-    max_ranges: int = MAX_RANGE_PARTITIONS,
+    max_ranges: int | None = None,
 ) -> DataFrame:
     """Lay out a scan's rows over tasks.
 
     `none`, and `shard` without a count, keep the file splits: no shuffle. `shard` with a
-    count hashes by id; `range` cuts the ids into at most `max_ranges` ranges, which wants
-    raising for graphs of many terabytes. Each row comes once.
+    count hashes by id; `range` cuts the ids into as many ranges as asked for, or as there are
+    shuffle partitions; `max_ranges`, if given, limits them. Each row comes once.
     """
     if strategy == "shard" and partitions:
         return frame.repartition(partitions, ID)
     if strategy == "range":
         wanted = partitions or int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return frame.repartitionByRange(max(1, min(wanted, max_ranges)), ID)
+        return frame.repartitionByRange(max(1, min(wanted, max_ranges or wanted)), ID)
     return frame
 
 
@@ -135,7 +135,7 @@ def read_elements(
     partitioning: str = "shard",
     partitions: int | None = None,
     schema: StructType | None = None,
-    max_ranges: int = MAX_RANGE_PARTITIONS,
+    max_ranges: int | None = None,
 ) -> DataFrame:
     """All visible elements of one kind as a wide frame, one row each.
 

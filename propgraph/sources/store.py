@@ -2,32 +2,36 @@
 
 Layout below the root folder:
 
-* `vertices/_segment=<name>/_conceptType=<type>/*.parquet`, `edges/_segment=<name>/_edgeLabel=...`:
-  written once, never changed. One commit writes at most one segment per element kind.
-* `_state/version=<n>/`: one JSON document saying which segments are live and what the catalog
-  holds. Writing it is the commit; until then readers see the version before.
+* `vertices/_segment=<name>/_conceptType=<type>/_bucket=<b>/*.parquet`, `edges/_segment=...`:
+  written once, never changed. One commit writes at most one segment per element kind. An
+  element's bucket is the hash of its id modulo the segment's number of buckets.
+* `_state/<n>.json`: one document saying which segments are live and what the catalog holds.
+  It is written under another name and renamed; the rename is the commit, and fails if there is
+  a document of that number. Until then readers see the version before.
 * `_staging/`: intermediate tables of running commits.
 
-An append writes only its own rows. Updates and deletes rewrite only the (segment, type)
-folders that hold a changed row; all others stay in place. One writer at a time.
+An append writes only its own rows. Updates and deletes rewrite only the (segment, type, bucket)
+folders that hold a changed row; all others stay in place. One writer at a time: the commit of a
+second one raises.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from propgraph.columns import (
-    DEST_ID, EDGE, HIDDEN, ID, SEGMENT, SOURCE_ID, VERTEX, VISIBILITY, is_true, named, reserved_columns,
+    BUCKET, DEST_ID, EDGE, HIDDEN, ID, SEGMENT, SOURCE_ID, VERTEX, VISIBILITY, is_true, named, reserved_columns,
     type_column,
 )
 from propgraph.operators.catalog import (
@@ -35,23 +39,37 @@ from propgraph.operators.catalog import (
     register_properties, register_types,
 )
 from propgraph.operators.mutate import (
-    append_elements, assign_ids, delete_where, prepare, unique_ids, update_matched,
+    append_elements, assign_ids, delete_where, last_of_each_id, prepare, reject_repeated_ids, update_matched,
 )
-from propgraph.options import GraphOptions, require_choice
+from propgraph.options import CONF_PREFIX, GraphOptions, require_choice
 from propgraph.sources.elements import PropertyGraph, empty
 
 _SALT = "__salt"
-SALTS = 16
 MODES = ("append", "overwrite", "overwrite_where", "overwrite_dynamic")
+#: Rows of a (type, bucket) above which later segments of the element kind get more buckets.
+BUCKET_ROWS = 1_000_000
+#: Numbers of buckets: at first, unless the session says otherwise, and at most; powers of two.
+BUCKETS, MOST_BUCKETS = 8, 1 << 16
+_DOCUMENT = re.compile(r"\d{20}\.json")
+#: Ids of more digits are never handed out.
+_DIGITS = 37
+
+Folder = tuple[str, str, int]
 
 
 @dataclass(frozen=True)
 class Segment:
-    """One written folder: the types still live in it, and those a later commit replaced."""
+    """One written folder: rows by type and bucket, and the (type, bucket) folders a later commit replaced."""
 
     name: str
-    types: tuple[str, ...]
-    retired: tuple[str, ...] = ()
+    buckets: int
+    rows: dict[str, dict[int, int]]
+    retired: tuple[tuple[str, int], ...] = ()
+
+    @property
+    def types(self) -> dict[str, int]:
+        """Live types with their rows."""
+        return {name: sum(buckets.values()) for name, buckets in self.rows.items()}
 
 
 @dataclass(frozen=True)
@@ -70,7 +88,11 @@ class GraphState:
         state = json.loads(text)
 
         def segments(items: list[dict]) -> tuple[Segment, ...]:
-            return tuple(Segment(i["name"], tuple(i["types"]), tuple(i["retired"])) for i in items)
+            return tuple(
+                Segment(
+                    i["name"], i["buckets"], {t: {int(b): n for b, n in own.items()} for t, own in i["rows"].items()},
+                    tuple((t, b) for t, b in i["retired"]))
+                for i in items)
 
         catalog = state["catalog"]
         return cls(
@@ -88,77 +110,157 @@ class GraphState:
     def with_segments(self, element_type: str, segments: tuple[Segment, ...]) -> GraphState:
         return replace(self, **{"vertices" if element_type == VERTEX else "edges": segments})
 
-
     def plus(self, element_type: str, live: tuple[Segment, ...], written: Segment) -> GraphState:
-        return self.with_segments(element_type, live + ((written,) if written.types else ()))
+        return self.with_segments(element_type, live + ((written,) if written.rows else ()))
+
+    def buckets(self, element_type: str, first: int) -> int:
+        """Buckets of the next segment: enough for the largest type, never fewer than before."""
+        rows: dict[str, int] = {}
+        for segment in self.segments(element_type):
+            for name, n in segment.types.items():
+                rows[name] = rows.get(name, 0) + n
+        wanted = max([first, *(s.buckets for s in self.segments(element_type))])
+        while wanted < MOST_BUCKETS and wanted * BUCKET_ROWS < max(rows.values(), default=0):
+            wanted *= 2
+        return wanted
 
 
 def _folder(element_type: str) -> str:
     return "vertices" if element_type == VERTEX else "edges"
 
 
-def _pairs(frame: DataFrame) -> set[tuple[str, str]]:
-    """Distinct (segment, type) pairs: no more than the store has folders."""
-    return {(r[0], r[1]) for r in frame.distinct().collect()}
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(named(ID)), F.lit(buckets)).cast("int")
+
+
+def _folders(frame: DataFrame, kind: str) -> set[Folder]:
+    """Distinct (segment, type, bucket) folders of the rows: no more than the store has."""
+    return {tuple(r) for r in frame.select(SEGMENT, kind, BUCKET).distinct().collect()}
 
 
-def _in_pairs(pairs: set[tuple[str, str]], kind: str) -> Column:
+def _in_folders(folders: set[Folder], kind: str) -> Column:
     """Is the row in one of the folders? Only partition columns, so the scan is pruned."""
-    by_segment: dict[str, list[str]] = {}
-    for segment, name in sorted(pairs):
-        by_segment.setdefault(segment, []).append(name)
-    tests = [(F.col(SEGMENT) == s) & F.col(kind).isin(*names) for s, names in by_segment.items()]
+    by_type: dict[tuple[str, str], list[int]] = {}
+    for segment, name, bucket in sorted(folders):
+        by_type.setdefault((segment, name), []).append(bucket)
+    tests = [
+        (F.col(SEGMENT) == s) & (named(kind) == name) & F.col(BUCKET).isin(*buckets) for (s, name), buckets in by_type.items()]
     return reduce(lambda a, b: a | b, tests)
 
 
-def _retire(live: tuple[Segment, ...], pairs: set[tuple[str, str]]) -> tuple[Segment, ...]:
-    """The segments without the given folders; those left with none are dropped."""
+def _in_buckets(segments: tuple[Segment, ...], buckets: list[int], of: int) -> Column:
+    """Can an id of these buckets (of so many) be in the row's folder? Only partition columns."""
+    by_count: dict[int, list[str]] = {}
+    for segment in segments:
+        by_count.setdefault(segment.buckets, []).append(segment.name)
+    tests = [
+        F.col(SEGMENT).isin(*names) & F.col(BUCKET).isin(*sorted({b % count for b in buckets}))
+        for count, names in by_count.items()]
+    return reduce(lambda a, b: a | b, tests)
+
+
+def _retire(live: tuple[Segment, ...], folders: set[Folder]) -> tuple[Segment, ...]:
+    """The segments without the given folders; types and segments left with none are dropped."""
     kept = []
     for segment in live:
-        gone = tuple(t for t in segment.types if (segment.name, t) in pairs)
-        types = tuple(t for t in segment.types if t not in gone)
-        if types:
-            kept.append(Segment(segment.name, types, segment.retired + gone))
+        retired = {*segment.retired, *((t, b) for s, t, b in folders if s == segment.name)}
+        left = {t: {b: n for b, n in own.items() if (t, b) not in retired} for t, own in segment.rows.items()}
+        if left := {t: own for t, own in left.items() if own}:
+            kept.append(replace(segment, rows=left, retired=tuple(sorted(retired))))
     return tuple(kept)
 
 
+def _whole_types(live: tuple[Segment, ...], types: set[str]) -> set[Folder]:
+    return {(s.name, t, b) for s in live for t, own in s.rows.items() if t in types for b in own}
+
+
+class StoreFiles:
+    """The few file operations that aren't reads or writes of tables, through Spark's file systems."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._hadoop = spark._jvm.org.apache.hadoop.fs
+        self._java = spark._jvm.java
+        self._gateway = spark.sparkContext._gateway
+        self._conf = spark._jsc.hadoopConfiguration()
+
+    def _system(self, path: str):
+        target = self._hadoop.Path(path)
+        return target.getFileSystem(self._conf), target
+
+    def names(self, folder: str) -> list[str]:
+        """Names in a folder; none if there is no folder."""
+        system, target = self._system(folder)
+        return [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
+
+    def delete(self, path: str) -> None:
+        system, target = self._system(path)
+        system.delete(target, True)
+
+    def read(self, path: str) -> str:
+        system, target = self._system(path)
+        stream = system.open(target)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def publish(self, text: str, path: str) -> None:
+        """Write a document so that it is there whole or not at all; FileExistsError if there is one."""
+        folder, _, name = path.rpartition("/")
+        hidden = f"{folder}/.{name}-{uuid.uuid4().hex}"
+        system, target = self._system(hidden)
+        stream = system.create(target, False)
+        stream.write(text.encode())
+        stream.close()
+        none = self._gateway.new_array(getattr(self._hadoop, "Options$Rename"), 0)
+        try:
+            self._hadoop.FileContext.getFileContext(target.toUri(), self._conf).rename(target, self._hadoop.Path(path), none)
+        except Py4JJavaError as error:
+            system.delete(target, False)
+            if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+                raise FileExistsError(path) from error
+            raise
+
+
 class GraphStore:
     """Reads and changes one stored graph."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self._files = StoreFiles(spark)
 
     # ---- state ---------------------------------------------------------------------------
 
+    def _versions(self) -> list[int]:
+        """Committed versions, oldest first. Other names, left by a crash, don't count."""
+        return sorted(int(n[:20]) for n in self._files.names(f"{self.root}/_state") if _DOCUMENT.fullmatch(n))
+
+    def _document(self, version: int) -> str:
+        return f"{self.root}/_state/{version:020}.json"
+
     def state(self) -> GraphState:
-        """The latest committed state; an unwritten root is an empty graph."""
-        try:
-            latest = (
-                self.spark.read.text(f"{self.root}/_state", wholetext=True)
-                .orderBy(F.col("version").cast("bigint").desc()).first()
-            )
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return GraphState()
-        return GraphState.from_json(latest.value)
+        """The latest committed state; an unwritten root is an empty graph. One document is read."""
+        versions = self._versions()
+        return GraphState.from_json(self._files.read(self._document(versions[-1]))) if versions else GraphState()
 
     def _commit(self, state: GraphState) -> None:
         document = replace(state, version=state.version + 1)
-        row = self.spark.range(0, 1, 1, 1).select(F.lit(document.to_json()).alias("value"))
-        row.write.mode("errorifexists").text(f"{self.root}/_state/version={document.version}")
+        try:
+            self._files.publish(document.to_json(), self._document(document.version))
+        except FileExistsError as error:
+            raise RuntimeError(f"Another writer has committed version {document.version} of {self.root}") from error
 
     # ---- reading -------------------------------------------------------------------------
 
     def _scan(self, element_type: str, state: GraphState) -> DataFrame:
-        """Stored elements under their property names, with the segment each row is in."""
+        """Stored elements under their property names, with the segment and bucket each row is in."""
         kind = type_column(element_type)
         names = [c for c in reserved_columns(element_type) if c != kind]
         fields = [StructField(c, StringType()) for c in names]
         fields += [StructField(VISIBILITY, StringType()), StructField(HIDDEN, BooleanType())]
         fields += [StructField(p.column, p.spark_type) for p in state.catalog.properties]
-        fields += [StructField(SEGMENT, StringType()), StructField(kind, StringType())]
+        fields += [StructField(SEGMENT, StringType()), StructField(kind, StringType()), StructField(BUCKET, IntegerType())]
         schema = StructType(fields)
 
         live = state.segments(element_type)
@@ -170,11 +272,10 @@ class GraphStore:
                 self.spark.read.schema(schema).option("basePath", base)
                 .parquet(*[f"{base}/{SEGMENT}={s.name}" for s in live])
             )
-            for segment in live:
-                if segment.retired:
-                    replaced = (F.col(SEGMENT) == segment.name) & F.col(kind).isin(*segment.retired)
-                    stored = stored.filter(~replaced)
-        columns = [named(c) for c in (*names, kind, VISIBILITY, HIDDEN, SEGMENT)]
+            replaced = {(s.name, t, b) for s in live for t, b in s.retired}
+            if replaced:
+                stored = stored.filter(~_in_folders(replaced, kind))
+        columns = [named(c) for c in (*names, kind, VISIBILITY, HIDDEN, SEGMENT, BUCKET)]
         columns += [named(p.column).alias(p.name) for p in state.catalog.properties]
         return stored.select(*columns)
 
@@ -183,8 +284,8 @@ class GraphStore:
         state = self.state()
         return PropertyGraph(
             state.catalog,
-            self._scan(VERTEX, state).drop(SEGMENT),
-            self._scan(EDGE, state).drop(SEGMENT),
+            self._scan(VERTEX, state).drop(SEGMENT, BUCKET),
+            self._scan(EDGE, state).drop(SEGMENT, BUCKET),
         )
 
     # ---- writing -------------------------------------------------------------------------
@@ -217,31 +318,33 @@ class GraphStore:
     ) -> None:
         element_type, kind = options.element_type, type_column(options.element_type)
         has_ids = ID in batch.columns
-        batch = unique_ids(batch, order_by) if has_ids else assign_ids(batch, state.next_id)
+        if has_ids and order_by is not None:
+            batch = last_of_each_id(batch, order_by)
 
         live = state.segments(element_type)
-        if live and (mode == "overwrite_dynamic" or (has_ids and mode != "overwrite")):
+        unchecked = has_ids and order_by is None
+        staged = bool(live) and (mode == "overwrite_dynamic" or (has_ids and mode != "overwrite"))
+        if staged:
             # Used more than once from here on: write it down, so that it is computed once
             # and the planner knows its size when it picks the join.
             batch = self._stage(batch, f"{staging}/batch")
+            if unchecked:
+                reject_repeated_ids(batch)
 
         if mode == "overwrite":
             live = ()
         elif mode == "overwrite_dynamic" and live:
-            types = [options.default_type]
+            types = {options.default_type}
             if type_from_column:
-                types = [r[0] for r in batch.select(kind).distinct().collect()]  # one row per type
-            live = _retire(live, {(s.name, t) for s in live for t in s.types if t in types})
+                types = {r[0] for r in batch.select(kind).distinct().collect()}  # one row per type
+            live = _retire(live, _whole_types(live, types))
 
-        several = type_from_column
         if live and (has_ids or where is not None):
-            remaining = state.with_segments(element_type, live)
-            batch, live, rewritten = self._merge(remaining, element_type, batch, where, has_ids, staging)
-            several = several or len(rewritten | {options.default_type}) > 1
-        segment, highest = self._write_segment(batch, element_type, state.catalog, several)
+            batch, live = self._merge(state.with_segments(element_type, live), element_type, batch, where, has_ids, staging)
+        segment, highest = self._write_segment(batch, element_type, state, unchecked and not staged)
         catalog = register_types(
             state.catalog, CONCEPT if element_type == VERTEX else RELATIONSHIP,
-            segment.types if type_from_column else (options.default_type,),
+            tuple(segment.types) if type_from_column else (options.default_type,),
         )
         state = replace(state, catalog=catalog, next_id=max(state.next_id, highest + 1))
         self._commit(state.plus(element_type, live, segment))
@@ -249,30 +352,34 @@ class GraphStore:
     def _merge(
         self, state: GraphState, element_type: str, batch: DataFrame, where: Column | None,
         match_ids: bool, staging: str,
-    ) -> tuple[DataFrame, tuple[Segment, ...], set[str]]:
-        """Rows to write, segments left, and types rewritten, when `where` goes and `batch` comes."""
+    ) -> tuple[DataFrame, tuple[Segment, ...]]:
+        """Rows to write and segments left, when `where` goes and `batch` comes."""
         kind = type_column(element_type)
+        live = state.segments(element_type)
         scan = self._scan(element_type, state)
-        touched: set[tuple[str, str]] = set()
+        touched: set[Folder] = set()
         if where is not None:
-            touched |= _pairs(scan.filter(where).select(SEGMENT, kind))
+            touched |= _folders(scan.filter(where), kind)
             scan = delete_where(scan, where)
         fresh = batch
         if match_ids:
-            # One pass over the stored ids; from here on only the folders they hit are read.
-            found = self._stage(
-                scan.select(ID, SEGMENT, kind).join(batch.select(ID), ID, "left_semi"),
-                f"{staging}/matched",
-            )
-            touched |= _pairs(found.select(SEGMENT, kind))
-            fresh = batch.join(found.select(ID), ID, "left_anti")
+            # One pass over the ids in the batch's buckets; from here on only the folders they hit are read.
+            most = max(s.buckets for s in live)
+            buckets = [r[0] for r in batch.select(_bucket(most)).distinct().collect()]
+            if buckets:
+                found = self._stage(
+                    scan.filter(_in_buckets(live, buckets, most)).select(ID, SEGMENT, kind, BUCKET)
+                    .join(batch.select(ID), ID, "left_semi"),
+                    f"{staging}/matched",
+                )
+                touched |= _folders(found, kind)
+                fresh = batch.join(found.select(ID), ID, "left_anti")
         if not touched:
-            return batch, state.segments(element_type), set()
-        rewritten = scan.filter(_in_pairs(touched, kind)).drop(SEGMENT)
+            return batch, live
+        rewritten = scan.filter(_in_folders(touched, kind)).drop(SEGMENT, BUCKET)
         if match_ids:
             rewritten = update_matched(rewritten, batch)
-        live = _retire(state.segments(element_type), touched)
-        return append_elements(rewritten, fresh), live, {name for _, name in touched}
+        return append_elements(rewritten, fresh), _retire(live, touched)
 
     def delete(self, element_type: str, where: Column | None = None, detach: bool = False) -> None:
         """Delete the elements that meet the predicate, or all of the kind.
@@ -282,45 +389,40 @@ class GraphStore:
         state = self.state()
         if where is None:
             changed = state.with_segments(element_type, ())
-        else:
-            changed = self._without(state, element_type, where)
-        if detach and element_type == VERTEX and state.edges:
-            if where is None:
+            if detach and element_type == VERTEX:
                 changed = changed.with_segments(EDGE, ())
-            else:
-                gone = self._scan(VERTEX, state).filter(where).select(ID)
-                with self._staging() as staging:
-                    changed = self._detached(changed, gone, staging)
+        else:
+            with self._staging() as staging:
+                changed = self._without(state, element_type, where, detach and element_type == VERTEX, staging)
         self._commit(changed)
 
-    def _without(self, state: GraphState, element_type: str, where: Column) -> GraphState:
-        """Rewrite the folders that hold a doomed element, without a shuffle."""
+    def _without(self, state: GraphState, element_type: str, where: Column, detach: bool, staging: str) -> GraphState:
+        """Rewrite the folders that hold a doomed element, and with `detach` those of edges at doomed vertices."""
         kind = type_column(element_type)
         scan = self._scan(element_type, state)
-        touched = _pairs(scan.filter(where).select(SEGMENT, kind))
-        if not touched:
-            return state
-        kept = delete_where(scan.filter(_in_pairs(touched, kind)), where).drop(SEGMENT)
-        segment, _ = self._write_segment(kept, element_type, state.catalog, several=False)
-        return state.plus(element_type, _retire(state.segments(element_type), touched), segment)
-
-    def _detached(self, state: GraphState, gone: DataFrame, staging: str) -> GraphState:
-        """Drop the edges whose source or destination is among the deleted ids."""
-        kind = type_column(EDGE)
-        gone = self._stage(gone, f"{staging}/vertices")
-        edges = self._scan(EDGE, state)
-        hits = [
-            edges.join(gone.withColumnRenamed(ID, end), end, "left_semi").select(ID, SEGMENT, kind)
-            for end in (SOURCE_ID, DEST_ID)
-        ]
-        doomed = self._stage(hits[0].union(hits[1]), f"{staging}/edges")
-        touched = _pairs(doomed.select(SEGMENT, kind))
+        doomed = scan.filter(where).select(ID, SEGMENT, kind, BUCKET)
+        if detach and state.edges:
+            doomed = self._stage(doomed, f"{staging}/doomed")
+        touched = _folders(doomed, kind)
         if not touched:
             return state
-        kept = edges.filter(_in_pairs(touched, kind)).join(doomed.select(ID), ID, "left_anti")
-        several = len({name for _, name in touched}) > 1
-        segment, _ = self._write_segment(kept.drop(SEGMENT), EDGE, state.catalog, several)
-        return state.plus(EDGE, _retire(state.edges, touched), segment)
+        kept = delete_where(scan.filter(_in_folders(touched, kind)), where).drop(SEGMENT, BUCKET)
+        changed = self._replaced(state, element_type, touched, kept)
+        if detach and state.edges:
+            ends = self._scan(EDGE, state).select(
+                ID, SEGMENT, type_column(EDGE), BUCKET, F.explode(F.array(SOURCE_ID, DEST_ID)).alias(_SALT))
+            hit = self._stage(
+                ends.join(doomed.select(named(ID).alias(_SALT)), _SALT, "left_semi").drop(_SALT).distinct(), f"{staging}/edges")
+            touched = _folders(hit, type_column(EDGE))
+            if touched:
+                kept = self._scan(EDGE, state).filter(_in_folders(touched, type_column(EDGE))).drop(SEGMENT, BUCKET)
+                changed = self._replaced(changed, EDGE, touched, kept.join(hit.select(ID), ID, "left_anti"))
+        return changed
+
+    def _replaced(self, state: GraphState, element_type: str, folders: set[Folder], rows: DataFrame) -> GraphState:
+        """The state with the folders' rows in a new segment instead."""
+        segment, _ = self._write_segment(rows, element_type, state, False)
+        return state.plus(element_type, _retire(state.segments(element_type), folders), segment)
 
     # ---- catalog changes -----------------------------------------------------------------
 
@@ -339,6 +441,44 @@ class GraphStore:
         state = self.state()
         self._commit(replace(state, catalog=drop_type(state.catalog, RELATIONSHIP, name)))
 
+    # ---- upkeep --------------------------------------------------------------------------
+
+    def compact(self, below: int | None = None) -> None:
+        """Merge the segments of fewer than `below` rows (by default all) into one per element kind.
+
+        The merged segment has buckets enough for the rows that its types have by now.
+        """
+        state = changed = self.state()
+        for element_type in (VERTEX, EDGE):
+            kind = type_column(element_type)
+            small = [
+                s for s in state.segments(element_type) if s.retired or below is None or sum(s.types.values()) < below]
+            if len(small) < 2 and not any(s.retired for s in small):
+                continue
+            rows = self._scan(element_type, state.with_segments(element_type, tuple(small))).drop(SEGMENT, BUCKET)
+            folders = {f for s in small for f in _whole_types((s,), set(s.rows))}
+            changed = self._replaced(changed, element_type, folders, rows.select(*rows.columns))
+        if changed is not state:
+            self._commit(changed)
+
+    def vacuum(self, keep: int = 1) -> None:
+        """Remove what the last `keep` versions don't use: states, segments, leftovers of failed writes.
+
+        Readers of earlier versions and running writers lose their files.
+        """
+        versions = self._versions()
+        kept = versions[-keep:]
+        states = [GraphState.from_json(self._files.read(self._document(v))) for v in kept]
+        for element_type in (VERTEX, EDGE):
+            used = {f"{SEGMENT}={s.name}" for state in states for s in state.segments(element_type)}
+            folder = f"{self.root}/{_folder(element_type)}"
+            for name in set(self._files.names(folder)) - used:
+                self._files.delete(f"{folder}/{name}")
+        documents = {f"{v:020}.json" for v in kept}
+        for name in set(self._files.names(f"{self.root}/_state")) - documents:
+            self._files.delete(f"{self.root}/_state/{name}")
+        self._files.delete(f"{self.root}/_staging")
+
     # ---- files ---------------------------------------------------------------------------
 
     @contextmanager
@@ -348,18 +488,26 @@ class GraphStore:
         try:
             yield path
         finally:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+            self._files.delete(path)
 
     def _stage(self, frame: DataFrame, path: str) -> DataFrame:
         frame.write.parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def _first_buckets(self) -> int:
+        return int(self.spark.conf.get(f"{CONF_PREFIX}buckets", "") or BUCKETS)
+
     def _write_segment(
-        self, frame: DataFrame, element_type: str, catalog: Catalog, several: bool
+        self, frame: DataFrame, element_type: str, state: GraphState, check_ids: bool
     ) -> tuple[Segment, int]:
-        """Write one segment; its types, and the highest numeric id in it (-1 if none)."""
+        """Write one segment; with the highest number among its ids (-1 if none).
+
+        The rows are shuffled once, so that a task holds few folders; large folders are split by
+        size. New ids are given after that shuffle, by the task that writes them: a task that runs
+        again gives ids from its own range, whatever rows the others hold.
+        """
         kind = type_column(element_type)
+        buckets = state.buckets(element_type, self._first_buckets())
         if VISIBILITY not in frame.columns:
             frame = frame.withColumn(VISIBILITY, F.lit(""))
         if HIDDEN not in frame.columns:
@@ -368,22 +516,30 @@ class GraphStore:
             VISIBILITY: F.coalesce(named(VISIBILITY), F.lit("")),
             HIDDEN: is_true(named(HIDDEN)),
         })
+        if ID in frame.columns:
+            frame = frame.withColumn(BUCKET, _bucket(buckets)).hint("rebalance", named(kind), F.col(BUCKET))
+        else:
+            # their buckets aren't known yet: spread each type by what its rows hold
+            width = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            salt = F.pmod(F.xxhash64(*[named(c).cast("string") for c in frame.columns]), F.lit(width))
+            frame = frame.withColumn(_SALT, salt).hint("rebalance", named(kind), F.col(_SALT)).drop(_SALT)
+            frame = assign_ids(frame, state.next_id).withColumn(BUCKET, _bucket(buckets))
         name = uuid.uuid4().hex
         path = f"{self.root}/{_folder(element_type)}/{SEGMENT}={name}"
-        columns = {p.name: p.column for p in catalog.properties}
+        columns = {p.name: p.column for p in state.catalog.properties}
         frame = frame.select(*[named(c).alias(columns.get(c, c)) for c in frame.columns])
-        if several:
-            # Tasks of even size that each hold few types, so that there are few small files.
-            # The salt spreads each type over some tasks; beyond that, large ones are split.
-            salt = F.pmod(F.hash(ID), F.lit(SALTS)).alias(_SALT)
-            frame = frame.select("*", salt).hint("rebalance", F.col(kind), F.col(_SALT)).drop(_SALT)
         (
-            frame.sortWithinPartitions(kind, ID).write.partitionBy(kind)
+            frame.sortWithinPartitions(kind, BUCKET, ID).write.partitionBy(kind, BUCKET)
             .option(f"parquet.bloom.filter.enabled#{ID}", "true")
             .option("parquet.bloom.filter.adaptive.enabled", "true")
             .parquet(path)
         )
-        written = self.spark.read.schema(f"{ID} string, {kind} string").parquet(path)
-        stats = written.groupBy(kind).agg(F.max(F.expr(f"try_cast({ID} AS bigint)")).alias("highest")).collect()
-        highest = max((r.highest for r in stats if r.highest is not None), default=-1)
-        return Segment(name, tuple(sorted(r[0] for r in stats))), highest
+        written = self.spark.read.schema(f"{ID} string, {kind} string, {BUCKET} int").parquet(path)
+        if check_ids:
+            reject_repeated_ids(written)
+        number = F.when(F.length(ID) <= _DIGITS, F.expr(f"try_cast({ID} AS decimal(38, 0))"))
+        stats = written.groupBy(kind, BUCKET).agg(F.max(number).alias("highest"), F.count("*").alias("n")).collect()
+        rows: dict[str, dict[int, int]] = {}
+        for r in sorted(stats, key=lambda r: r[:2]):
+            rows.setdefault(r[0], {})[r[1]] = r.n
+        return Segment(name, buckets, rows), max((int(r.highest) for r in stats if r.highest is not None), default=-1)

@@ -51,17 +51,3 @@ def test_unknown_choices_are_errors(spark, name, value):
 def test_unknown_option_names_are_errors(spark):
     with pytest.raises(ValueError, match="Unknown options: batch"):
         GraphOptions.resolve(spark, {"element.type": "VERTEX", "batch": "1"})
-
-
-def test_validators():
-    o.require_not_empty("x", "m")
-    o.require_not_blank("x", "m")
-    o.require_true(True, "m")
-    o.require_false(False, "m")
-    for call in (
-        lambda: o.require_not_empty("", "m"), lambda: o.require_not_empty([], "m"),
-        lambda: o.require_not_empty({}, "m"), lambda: o.require_not_blank("  ", "m"),
-        lambda: o.require_true(False, "m"), lambda: o.require_false(True, "m"), lambda: o.reject("m"),
-    ):
-        with pytest.raises(ValueError, match="^m$"):
-            call()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import propgraph as pg
+from propgraph.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 # Queries that write tables while they are built; their results are plain scans.
@@ -22,7 +23,7 @@ def scans(plan: str) -> list[str]:
     return [line for line in plan.splitlines() if "FileScan" in line]
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith(WRITING)))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(WRITING)))
 def test_no_python_and_no_cross_joins(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_DIR))
     assert "Python" not in plan and "Pandas" not in plan and "ArrowEval" not in plan
@@ -99,6 +100,32 @@ def test_scratch_tables_go_to_the_shared_folder(spark):
     assert all(f"{shared}/propgraph-" in file for file in frame.inputFiles())
 
 
+class _Session:
+    """A session with nothing but what the choice of the scratch folder looks at."""
+
+    def __init__(self, master, **settings):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda name, default=None: settings.get(name.replace(".", "_"), default))})
+
+
+def test_scratch_tables_of_a_cluster_are_never_local():
+    from propgraph.plans.scratch import _shared
+    assert _shared(_Session("spark://x", spark_checkpoint_dir="s3://a", spark_sql_warehouse_dir="s3://b")) == "s3://a"
+    assert _shared(_Session("spark://x", spark_sql_warehouse_dir="s3://b")) == "s3://b"
+    assert _shared(_Session("local[2]", spark_sql_warehouse_dir="s3://b")).startswith("/tmp/")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        _shared(_Session("local-cluster[1,1,900]"))
+
+
+def test_scratch_tables_are_removed(spark):
+    from propgraph.plans.scratch import remove_scratch, scratch_root
+    folder = Path(scratch_root(spark))
+    pg.create_vertices(spark.createDataFrame([("1",)], "_id string"), str(folder), "T")
+    assert folder.exists()
+    remove_scratch(spark)
+    assert not folder.parent.exists()
+
+
 def test_staged_tables_are_removed_after_the_commit(spark, root):
     for turn in range(2):
         pg.create_vertices(spark.createDataFrame([("1", turn)], "_id string, n int"), root, "T")

@@ -119,7 +119,7 @@ def test_user_schema(graph):
 
 @pytest.mark.parametrize("options, partitions", [
     ({"partitioning": "shard", "partitions": 5}, 5), ({"partitioning": "range", "partitions": 3}, 3),
-    ({"partitioning": "range", "partitions": 300}, 200), ({"partitioning": "range", "partitions": 9, "max_ranges": 4}, 4),
+    ({"partitioning": "range", "partitions": 300}, 300), ({"partitioning": "range", "partitions": 9, "max_ranges": 4}, 4),
 ])
 def test_strategies_keep_each_row_once(graph, options, partitions):
     frame = pg.read_elements(graph, VERTEX, **ALL, **options)
@@ -180,7 +180,8 @@ def test_duration_predicates_raise(spark):
     for predicate in (
         F.col("span") == pg.make_duration(days=1), F.col("span") > pg.make_duration(days=1),
         F.col("span").isin(pg.make_duration(days=1)), scan["span"] == scan["span"],
-        F.col("spans") == F.array(pg.make_duration(days=1)),
+        F.col("spans") == F.array(pg.make_duration(days=1)), F.col("span").eqNullSafe(pg.make_duration(days=1)),
+        F.array_contains("spans", pg.make_duration(days=1)), (F.col("id") > 0) & ~(F.col("spans")[0] <= F.col("span")),
     ):
         with pytest.raises(ValueError, match="^Duration filters not supported$"):
             pg.where(scan, predicate)
@@ -189,3 +190,7 @@ def test_duration_predicates_raise(spark):
     assert ids(pg.where(scan, F.col("span").isNotNull() & (scan["id"] > 0))) == ["1"]
     assert ids(pg.where(scan, pg.duration_seconds(F.col("span")) >= 86_400)) == ["1"]
     assert ids(pg.where(scan, "span.days = 1")) == ["1"]
+    assert ids(pg.where(scan, F.col("span").isNull())) == []
+    assert ids(pg.where(scan, pg.duration_seconds(scan["span"]) > 1)) == ["1"]
+    assert ids(pg.where(scan, pg.duration_seconds(F.col("spans")[0]) > 1)) == ["0", "1"]
+    assert ids(pg.where(scan, pg.duration_seconds(F.element_at("spans", 1)) > 1)) == ["0", "1"]

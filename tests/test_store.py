@@ -171,28 +171,33 @@ def test_upsert_rewrites_only_the_folders_it_hits(spark, store):
 
 def test_repeated_ids(spark, store):
     batch = people(spark, ("1", "a", 1), ("1", "b", 3), ("1", "c", 2), ("2", "d", None))
-    with pytest.raises(PySparkException, match="More than one row in the batch for _id 1"):
+    with pytest.raises(ValueError, match="More than one row in the batch for _id 1"):
         store.write(batch, PERSON)
     store.write(batch, PERSON, order_by="age")
     assert rows(store, "_id", "name") == [("1", "b"), ("2", "d")]
 
 
 def test_repeated_ids_with_equal_rank_are_settled_the_same_way_each_time(spark):
-    from propgraph.operators.mutate import unique_ids
+    from propgraph.operators.mutate import last_of_each_id
     batch = people(spark, *[("1", n, 1) for n in "abcdefgh"])
-    picked = {unique_ids(batch.repartition(n), "age").first().name for n in (1, 3, 8)}
+    picked = {last_of_each_id(batch.repartition(n), "age").first().name for n in (1, 3, 8)}
     assert len(picked) == 1
 
 
-def test_pure_frames_upsert_the_same(spark):
-    from propgraph.operators.mutate import overwrite_where, update_matched, upsert_elements
+def test_a_hot_repeated_id_fails_the_commit(spark, store):
+    hot = spark.range(300_000).select(F.lit("1").alias("_id"), F.col("id").alias("n"))
+    for _ in range(2):  # into an empty store, and into one with elements
+        with pytest.raises(ValueError, match="More than one row in the batch for _id 1"):
+            store.write(hot, PERSON)
+        store.write(people(spark, ("9", "x", 1)), CAT)
+    assert rows(store, "_id") == [("9",)]
+
+
+def test_updates_of_frames(spark):
+    from propgraph.operators.mutate import update_matched
     base = people(spark, ("1", "a", 1), ("2", "b", 2))
     batch = spark.createDataFrame([("2", None, 7), ("3", "c", 8)], "_id string, name string, extra int")
-    assert sorted(map(tuple, upsert_elements(base, batch).collect())) == [
-        ("1", "a", 1, None), ("2", None, 2, 7), ("3", "c", None, 8)
-    ]
     assert sorted(map(tuple, update_matched(base, batch).collect())) == [("1", "a", 1, None), ("2", None, 2, 7)]
-    assert sorted(r._id for r in overwrite_where(base, batch, F.col("age") > 1).collect()) == ["1", "2", "3"]
 
 
 def test_types_are_the_catalogs(spark, store):
@@ -293,12 +298,6 @@ def test_detach(spark, store, where, detach, expected):
     assert [r[0] for r in rows(store, "_id", kind=EDGE)] == expected
 
 
-def test_detach_as_a_frame(spark):
-    from propgraph.operators.mutate import detach
-    edges = spark.createDataFrame([("e1", "1", "2"), ("e2", "2", "3"), ("e3", "4", "4")], "_id string, _sid string, _did string")
-    assert [r._id for r in detach(edges, people(spark, ("2", "x", 1))).collect()] == ["e3"]
-
-
 # ---- commits and the catalog -----------------------------------------------------------------
 
 
@@ -344,9 +343,11 @@ def test_dropped_types_stay_in_the_data(spark, store):
 
 
 def test_state_survives_json():
-    state = GraphState(3, 7, (Segment("a", ("x",), ("y",)),), ())
+    state = GraphState(3, 10**30, (Segment("a", 2, {"x": {0: 5, 1: 2}, "z": {1: 1}}, (("y", 0),)),), ())
     assert GraphState.from_json(state.to_json()) == state
-    assert _retire(state.vertices, {("a", "x")}) == ()
+    assert _retire(state.vertices, {("a", "x", 0), ("b", "x", 1), ("a", "z", 1)}) == (
+        Segment("a", 2, {"x": {1: 2}}, (("x", 0), ("y", 0), ("z", 1))),)
+    assert _retire(state.vertices, {("a", t, b) for t in "xz" for b in (0, 1)}) == ()
 
 
 def test_option_maps(spark, root):
@@ -377,3 +378,162 @@ def test_small_updates_do_not_shuffle_the_stored_rows(spark, root):
     joined = update_matched(spark.read.parquet(f"{root}/base"), spark.read.parquet(f"{root}/batch"))
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.agg(F.sum("id")).first()[0] == sum(range(10, 1000)) - sum(range(10))
+
+
+# ---- buckets, crashes, upkeep ------------------------------------------------------------------
+
+
+def big(spark, n=200_000):
+    return spark.range(n).select(F.concat(F.lit("p"), "id").alias("_id"), F.col("id").alias("n"))
+
+
+def test_one_row_changes_rewrite_one_bucket(spark, store):
+    store.write(big(spark), PERSON)
+    store.write(spark.createDataFrame([("p77", -1)], "_id string, n bigint"), PERSON)
+    second = store.state().vertices[1]
+    assert 0 < second.types["Person"] < 200_000 / 4
+    store.delete(VERTEX, F.col("_id") == "p100")
+    third = store.state().vertices[-1]
+    assert 0 < third.types["Person"] < 200_000 / 4
+    found = pg.read_elements(store.graph(), VERTEX)
+    assert found.agg(F.count("*"), F.sum("n")).first()[:] == (199_999, sum(range(200_000)) - 77 - 1 - 100)
+
+
+def test_ids_are_sought_in_the_buckets_of_the_batch(spark, store):
+    from propgraph.sources.store import _bucket, _in_buckets
+    store.write(big(spark, 1000), PERSON)
+    state = store.state()
+    batch = spark.createDataFrame([("p1",)], "_id string")
+    bucket = batch.select(_bucket(8)).first()[0]
+    scan = store._scan(VERTEX, state).filter(_in_buckets(state.vertices, [bucket], 8)).select("_id")
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "_bucket" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert 0 < scan.count() < 500 and scan.filter("_id = 'p1'").count() == 1
+
+
+def test_segments_of_different_buckets_work_together(spark, store):
+    for count, name in (("2", "a"), ("16", "b"), ("4", "c")):
+        spark.conf.set("spark.propgraph.buckets", count)
+        store.write(people(spark, *[(f"{name}{k}", name, k) for k in range(40)]), PERSON)
+    spark.conf.unset("spark.propgraph.buckets")
+    assert [s.buckets for s in store.state().vertices] == [2, 16, 16]
+    store.write(people(spark, ("a3", "new", 1), ("b3", "new", 1), ("d", "new", 1)), PERSON)
+    assert len(rows(store, "_id")) == 121
+    assert [r[0] for r in rows(store, "_id", "name") if r[1] == "new"] == ["a3", "b3", "d"]
+    store.delete(VERTEX, F.col("name") == "new")
+    assert len(rows(store, "_id")) == 118
+
+
+def test_buckets_grow_with_the_rows(monkeypatch):
+    monkeypatch.setattr("propgraph.sources.store.BUCKET_ROWS", 10)
+    state = GraphState(vertices=(Segment("a", 8, {"x": {0: 500}}), Segment("b", 8, {"x": {1: 200}, "y": {0: 9}})))
+    assert state.buckets(VERTEX, 8) == 128
+    assert state.buckets(EDGE, 8) == 8
+
+
+def test_leftovers_of_a_crashed_commit_do_not_count(spark, store):
+    from pathlib import Path
+    start(spark, store)
+    version = store.state().version
+    folder = Path(store.root, "_state")
+    (folder / f"version={version + 1}").mkdir()
+    (folder / f".{version + 1:020}.json-abc").write_text("{")
+    (folder / f"{version + 1:020}.json.tmp").write_text("")
+    store.write(people(spark, ("77", "x", 1)), PERSON)
+    assert store.state().version == version + 1
+    assert len(rows(store, "_id")) == 6
+
+
+def test_the_second_writer_of_a_version_gets_an_error(spark, store):
+    start(spark, store)
+    state = store.state()
+    store._commit(state)
+    with pytest.raises(RuntimeError, match="Another writer"):
+        store._commit(state)
+    assert store.state().version == state.version + 1
+
+
+def test_one_document_is_read_after_a_hundred_commits(spark, store, monkeypatch):
+    for version in range(100):
+        store._commit(GraphState(version))
+    read = []
+    files = type(store._files)
+    original = files.read
+    monkeypatch.setattr(files, "read", lambda self, path: read.append(path) or original(self, path))
+    assert store.state().version == 100 and len(read) == 1
+
+
+@pytest.mark.parametrize("taken", [str(2**63 - 1), "9" * 30, "1" * 40, "9223372036854775000", "-5"])
+def test_new_ids_after_large_ones(spark, store, taken):
+    store.write(people(spark, (taken, "x", 1)), PERSON)
+    store.write(spark.range(8, numPartitions=4).select("id"), PERSON)
+    store.write(spark.range(8, numPartitions=4).select("id"), PERSON)
+    ids = [r[0] for r in rows(store, "_id")]
+    assert len(set(ids)) == 17 and all(i.isdigit() for i in ids if i != taken)
+
+
+def test_ids_are_given_after_the_shuffle(spark, store, monkeypatch):
+    plans = []
+    from pyspark.sql import DataFrameWriter
+    original = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, **k: plans.append(
+        self._df._jdf.queryExecution().executedPlan().toString()) or original(self, path, **k))
+    store.write(spark.range(100).select(F.col("id").cast("string").alias("_conceptType"), "id"), PERSON, type_from_column=True)
+    (plan,) = plans
+    lines = [x for x in plan.splitlines() if "Exchange" in x or "monotonically" in x]
+    assert "monotonically" in lines[0] and [("Exchange" in x) for x in lines].count(True) == 1
+
+
+def test_written_rows_are_shuffled_once(spark, store, monkeypatch):
+    plans = []
+    from pyspark.sql import DataFrameWriter
+    original = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, **k: plans.append(
+        self._df._jdf.queryExecution().executedPlan().toString()) or original(self, path, **k))
+    store.write(big(spark, 1000), PERSON)
+    assert [p.count("Exchange") for p in plans] == [1]
+    assert "Python" not in plans[0] and "Cartesian" not in plans[0]
+    store.write(big(spark, 10), PERSON)
+    assert all("Cartesian" not in p and "NestedLoop" not in p and "Python" not in p for p in plans)
+
+
+def test_compaction_and_vacuum(spark, store):
+    from pathlib import Path
+    for k in range(12):
+        store.write(people(spark, (str(k), f"n{k}", k)), PERSON if k % 2 else CAT)
+    store.delete(VERTEX, F.col("age") == 3)
+    wanted = rows(store, "_id", "name", "_conceptType")
+    old = store.graph()
+    store.compact()
+    assert len(store.state().vertices) == 1
+    assert rows(store, "_id", "name", "_conceptType") == wanted and len(wanted) == 11
+    assert pg.read_elements(old, VERTEX).count() == 11, "earlier readers keep their files"
+    store.compact()
+    store.vacuum()
+    assert len(list(Path(store.root, "vertices").iterdir())) == 1
+    assert [p.name for p in Path(store.root, "_state").iterdir() if not p.name.endswith(".crc")] == [f"{store.state().version:020}.json"]
+    assert rows(store, "_id", "name", "_conceptType") == wanted
+    store.write(people(spark, ("99", "x", 1)), PERSON)
+    assert len(rows(store, "_id")) == 12
+
+
+def test_only_small_segments_are_compacted(spark, store):
+    store.write(big(spark, 100), PERSON)
+    for k in range(3):
+        store.write(people(spark, (str(k), "x", k)), PERSON)
+    before = store.state().vertices[0]
+    store.compact(below=50)
+    assert store.state().vertices[0] == before and len(store.state().vertices) == 2
+    assert len(rows(store, "_id")) == 103
+
+
+def test_a_read_of_many_ranges(spark, root):
+    pg.create_vertices(big(spark, 5000), root, "P")
+    frame = pg.load(spark, root, {"element.type": "VERTEX", "partitioning.strategy": "range"}, partitions=1000)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert frame.rdd.getNumPartitions() > 900
+        assert pg.load(spark, root, {"element.type": "VERTEX", "partitioning.strategy": "range"}, partitions=1000, max_ranges=7).rdd.getNumPartitions() == 7
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
