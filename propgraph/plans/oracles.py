@@ -208,6 +208,8 @@ WITH d AS (
   SELECT 'd' || doc_id, 2, 0, length(text) * 7 // 4, (length(text) * 7 % 4) * 21600, 0 FROM documents)
 SELECT _id, CAST(2 AS INTEGER) AS n, CAST(position AS INTEGER) AS position, {_FIELDS} FROM d"""
 
+ORACLES["duration_array_order"] = "SELECT 'd' || doc_id AS _id, n_chars AS length FROM documents WHERE n_chars > 1000"
+
 ORACLES["duration_order"] = """
 WITH d AS (SELECT 'o' || o_orderkey AS _id, (o_orderkey % 14) * 2629746 + (o_orderkey % 50) * 3600 AS length FROM orders)
 SELECT _id, length FROM d WHERE length > 20000000"""
@@ -224,6 +226,17 @@ oracle("insert_vertices", "SELECT _id, _conceptType, name, balance, segment FROM
 oracle("insert_generated_ids",
        "SELECT _conceptType, count(*) AS n, count(*) AS n_ids, count(*) AS n_whole FROM people GROUP BY _conceptType",
        _PEOPLE)
+oracle("insert_edges_generated_ids",
+       "SELECT _edgeLabel, count(*) AS n, count(*) AS n_ids, count(*) AS n_whole FROM e "
+       "WHERE _edgeLabel = 'placed' OR _id LIKE 'in_nation:c%' GROUP BY _edgeLabel")
+oracle("insert_by_option_maps",
+       "SELECT _id, 'client' AS _conceptType, name, balance FROM people WHERE _conceptType = 'customer'", _PEOPLE)
+ORACLES["stored_texts_of_odd_types"] = (
+    "SELECT 'd' || doc_id AS _id, '{\"n\":' || n_chars || '}' AS facts, '[' || doc_id || ',' || n_chars || ']' AS nested "
+    "FROM documents")
+oracle("compacted_vertices",
+       "SELECT _id, _conceptType, name, CASE WHEN _conceptType = 'customer' AND balance < 0 THEN 0.0 ELSE balance END AS balance, "
+       "segment FROM people WHERE _conceptType IN ('customer', 'supplier')", _PEOPLE)
 oracle("insert_edges", f"SELECT {E} FROM e WHERE _edgeLabel IN ('placed', 'contains')")
 oracle(
     "upsert_vertices",
@@ -314,6 +327,12 @@ oracle("match_edge_label", "SELECT _id, _sid, _did, quantity FROM e WHERE _edgeL
 oracle("delete_where_balance", "SELECT _id, _conceptType, name, balance FROM people WHERE NOT balance < 0", _PEOPLE)
 _DEBTORS = ("gone AS (SELECT _id FROM v WHERE _conceptType = 'customer' AND balance < 0), "
             "links AS (SELECT * FROM e WHERE _edgeLabel = 'placed' OR _id LIKE 'in_nation:c%')")
+oracle("delete_all",
+       "SELECT _conceptType AS type, count(*) AS n FROM v WHERE _conceptType = 'supplier' GROUP BY 1 "
+       "UNION ALL SELECT _edgeLabel, count(*) FROM links GROUP BY 1", _DEBTORS)
+oracle("drop_types_of_store",
+       "SELECT _edgeLabel AS name, count(*) AS n, _edgeLabel <> 'placed' AS listed FROM links "
+       "WHERE _sid NOT IN (SELECT _id FROM gone) GROUP BY 1", _DEBTORS)
 oracle("delete_detach",
        "SELECT _id, _edgeLabel, _sid, _did FROM links WHERE _sid NOT IN (SELECT _id FROM gone)", _DEBTORS)
 oracle("dangling_edges",

@@ -6,6 +6,7 @@ Results are flat: instants become zone-less timestamps, structs and arrays are t
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from propgraph.operators.catalog import (
     CONCEPT, RELATIONSHIP, Catalog, drop_property, drop_type, infer_schema, list_concepts, list_labels,
     list_properties, properties_frame, register_properties, register_types, types_frame,
 )
+from propgraph.api import load, save
 from propgraph.operators.match import match_edges, match_vertices, where
 from propgraph.options import GraphOptions
 from propgraph.plans.scratch import scratch_root
@@ -65,6 +67,13 @@ def key(prefix: str, *columns: str) -> Column:
     return F.expr(t.key(prefix, *columns))
 
 
+def on_days(when: Column, *days: str) -> Column:
+    """Does an instant fall on one of the days? As ranges, which scans can skip row groups by."""
+    starts = [F.lit(day).cast("date") for day in days]
+    return reduce(lambda a, b: a | b, [
+        (when >= start.cast("timestamp")) & (when < F.date_add(start, 1).cast("timestamp")) for start in starts])
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -219,9 +228,7 @@ _filter_query("f_gt_date", VERTEX, lambda: col("odate") > F.lit("1999-01-01").ca
 _filter_query("f_ge_timestamp", VERTEX, lambda: col("odate") >= instant(F.lit("1999-01-01T00:00:00")), "odate")
 _filter_query("f_in_number", VERTEX, lambda: col("size").isin(41, 43), "size")
 _filter_query("f_in_string", VERTEX, lambda: col("segment").isin("BUILDING", "FURNITURE"), "segment")
-_filter_query("f_in_date", VERTEX,
-              lambda: col("odate").cast("date").isin(*[F.lit(d).cast("date") for d in ("1999-02-02", "1999-02-16")]),
-              "odate")
+_filter_query("f_in_date", VERTEX, lambda: on_days(col("odate"), "1999-02-02", "1999-02-16"), "odate")
 _filter_query("f_in_with_null", VERTEX, lambda: col("segment").isin("BUILDING", None), "segment")
 _filter_query("f_in_reserved", VERTEX, lambda: col(CONCEPT_TYPE).isin("nation", "region", "supplier"), CONCEPT_TYPE)
 _filter_query("f_like_reserved", EDGE, lambda: col(EDGE_LABEL).like("in%"), EDGE_LABEL, DEST_ID)
@@ -342,11 +349,17 @@ def duration_array(spark, sf_dir):
             make_duration(weeks=F.length("text") / F.lit(4).cast("decimal(1,0)")),
         ).alias("spans"),
     )
-    frame = _stored(spark, batch, "document")
-    first, second = (frame.select(ID, F.size("spans").alias("n"), F.element_at("spans", i).alias("span")) for i in (1, 2))
-    return first.select(ID, "n", F.lit(1).alias("position"), *_duration_fields("span")).union(
-        second.select(ID, "n", F.lit(2).alias("position"), *_duration_fields("span"))
-    )
+    each = _stored(spark, batch, "document").select(ID, F.size("spans").alias("n"), F.posexplode("spans").alias("at", "span"))
+    return each.select(ID, "n", (F.col("at") + 1).alias("position"), *_duration_fields("span"))
+
+
+@query
+def duration_array_order(spark, sf_dir):
+    """Elements chosen by the length of the first duration of an array."""
+    batch = t.table(spark, sf_dir, "documents").select(
+        key("d", "doc_id").alias(ID), F.array(make_duration(seconds="n_chars"), make_duration(days=1)).alias("spans"))
+    length = duration_seconds(F.element_at("spans", 1))
+    return where(_stored(spark, batch, "document"), length > 1000).select(ID, length.cast("bigint").alias("length"))
 
 
 @query
@@ -445,6 +458,46 @@ def insert_edges(spark, sf_dir):
     return _state(store, EDGE, SOURCE_ID, DEST_ID, "odate", "quantity", "lines")
 
 
+@query
+def insert_edges_generated_ids(spark, sf_dir):
+    """Edges without ids get new ones: whole numbers, each once."""
+    store = _store(spark)
+    for placed in (t.placed(spark, sf_dir), t.customer_nations(spark, sf_dir)):
+        store.write(placed.drop(ID), ANY_EDGE, type_from_column=True)
+    return read_elements(store.graph(), EDGE).groupBy(EDGE_LABEL).agg(
+        F.count("*").alias("n"), F.countDistinct(ID).alias("n_ids"), F.count_if(F.col(ID).rlike("^[0-9]+$")).alias("n_whole"))
+
+
+@query
+def insert_by_option_maps(spark, sf_dir):
+    """A write and a read as option maps say; the range scan has as many tasks as asked for."""
+    root = scratch_root(spark)
+    save(t.customers(spark, sf_dir), root, {"element.type": "VERTEX", "conceptType": "client"})
+    options = {"element.type": "VERTEX", "partitioning.strategy": "range", "reader.fetchHints": "ALL"}
+    return load(spark, root, options, partitions=300).select(ID, CONCEPT_TYPE, "name", "balance")
+
+
+@query
+def stored_texts_of_odd_types(spark, sf_dir):
+    """Maps and nested arrays are stored as text."""
+    batch = t.table(spark, sf_dir, "documents").select(
+        key("d", "doc_id").alias(ID), F.create_map(F.lit("n"), "n_chars").alias("facts"),
+        F.array(F.array("doc_id", "n_chars")).alias("nested"))
+    return _stored(spark, batch, "document").select(ID, "facts", F.element_at("nested", 1).alias("nested"))
+
+
+@query
+def compacted_vertices(spark, sf_dir):
+    """All vertices, each kind inserted by itself, after their segments were merged and old files removed."""
+    store = _store(spark)
+    for frame in (t.customers(spark, sf_dir), t.suppliers(spark, sf_dir)):
+        store.write(frame, ANY_VERTEX, type_from_column=True)
+    store.write(_owing(spark, sf_dir).select(ID, F.lit(0.0).alias("balance"), CONCEPT_TYPE), ANY_VERTEX, type_from_column=True)
+    store.compact()
+    store.vacuum()
+    return _state(store, VERTEX, "name", "balance", "segment")
+
+
 @query
 def upsert_vertices(spark, sf_dir):
     """Customers in debt get a new balance and a flag; suppliers come new."""
@@ -625,6 +678,28 @@ def delete_where_balance(spark, sf_dir):
     return _state(store, VERTEX, "name", "balance")
 
 
+@query
+def delete_all(spark, sf_dir):
+    """What is left after all vertices were deleted and customers came anew: these, and the edges."""
+    store = _debtors_deleted(spark, sf_dir, detach=False)
+    store.delete(VERTEX)
+    store.write(t.suppliers(spark, sf_dir), SUPPLIER)
+    graph = store.graph()
+    return read_elements(graph, VERTEX).groupBy(F.col(CONCEPT_TYPE).alias("type")).agg(F.count("*").alias("n")).union(
+        read_elements(graph, EDGE).groupBy(F.col(EDGE_LABEL).alias("type")).agg(F.count("*").alias("n")))
+
+
+@query
+def drop_types_of_store(spark, sf_dir):
+    """Types dropped from the store's catalog; the elements stay."""
+    store = _debtors_deleted(spark, sf_dir, detach=True)
+    store.drop_label("placed")
+    listed = types_frame(spark, store.state().catalog, RELATIONSHIP)
+    counts = read_elements(store.graph(), EDGE).groupBy(F.col(EDGE_LABEL).alias("name")).agg(F.count("*").alias("n"))
+    return counts.join(listed.select("name", F.lit(True).alias("listed")), "name", "left").select(
+        "name", "n", F.coalesce("listed", F.lit(False)).alias("listed"))
+
+
 def _debtors_deleted(spark: SparkSession, sf_dir: str, detach: bool) -> GraphStore:
     """Customers with their orders, after the customers in debt were deleted."""
     store = _store(spark)
