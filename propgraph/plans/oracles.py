@@ -219,7 +219,8 @@ SELECT _id, length FROM d WHERE length > 20000000"""
 _PEOPLE = "people AS (SELECT * FROM v WHERE _conceptType IN ('customer', 'supplier'))"
 _C = "SELECT {} FROM v WHERE _conceptType = 'customer'"
 
-oracle("stored_vertices", "SELECT _id, _conceptType, name, balance, price, odate, n_chars FROM v")
+oracle("stored_vertices", "SELECT _id, _conceptType, name, balance, price, odate, n_chars, md5(text) AS text_md5 FROM v")
+oracle("stored_id_lookup", "SELECT _id, _conceptType, name FROM people WHERE _id = 'c42'", _PEOPLE)
 oracle("stored_edges", f"SELECT {E} FROM e")
 oracle("stored_filter", "SELECT _id, _conceptType, name, balance FROM v WHERE _conceptType = 'customer' AND balance > 10")
 oracle("insert_vertices", "SELECT _id, _conceptType, name, balance, segment FROM people", _PEOPLE)

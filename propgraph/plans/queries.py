@@ -407,7 +407,14 @@ def _owing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_vertices(spark, sf_dir):
     store = _store(spark)
     store.write(t.tables_graph(spark, sf_dir, kinds=(VERTEX,)).vertices, ANY_VERTEX, type_from_column=True)
-    return _state(store, VERTEX, "name", "balance", "price", "odate", "n_chars")
+    frame = read_elements(store.graph(), VERTEX)
+    return flat(frame.withColumn("text_md5", F.md5(F.col("text").cast("binary"))), ID, CONCEPT_TYPE, "name", "balance", "price", "odate", "n_chars", "text_md5")
+
+
+@query
+def stored_id_lookup(spark, sf_dir):
+    """An id looked up in a stored graph, where it is a column that scans can skip files by."""
+    return where(read_elements(_people(spark, sf_dir).graph(), VERTEX), col(ID) == "c42").select(ID, CONCEPT_TYPE, "name")
 
 
 @query

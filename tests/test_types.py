@@ -58,6 +58,7 @@ def one(spark, **columns):
     return spark.range(1).select(*[c.alias(n) for n, c in columns.items()]).first()
 
 
+# Durations and their texts.
 @pytest.mark.parametrize("parts, expected", [
     ({"days": 14, "hours": 16, "minutes": 12}, (0, 14, 58320, 0, "P14DT16H12M")),
     ({"months": 0.75}, (0, 22, 71509, 500_000_000, "P22DT19H51M49.5S")),
