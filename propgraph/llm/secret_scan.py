@@ -19,8 +19,10 @@ from propgraph.llm.common import SPACE, Scratch, small, table, text_key
 SAMPLE = 5_000
 TREES, DEPTH, SEED = 24, 6, 7
 THRESHOLD = 0.5
-#: Words before and after a candidate that the dictionary is made of.
+#: Words before and after a candidate that are kept with it.
 AROUND = 5
+#: Letters of a word of the dictionary, at least and at most.
+LETTERS = 4, 20
 
 _RUN = r"[A-Za-z0-9+/_-]{16,}"
 #: Sixteen characters of which one is a digit, or twenty.
@@ -69,15 +71,18 @@ def _grams(word: Column, n: int) -> Column:
         F.array().cast("array<string>"))
 
 
-def dictionary(found: DataFrame) -> DataFrame:
-    """(gram, weight) of the words next to all findings: log-likelihood of pairs of characters, 1 for triples
-    that occur twice. Words are letters only, so there are few grams.
+def dictionary(frame: DataFrame) -> DataFrame:
+    """(gram, weight) of all words of the documents, or of those next to findings if the frame has no text:
+    log-likelihood of pairs of characters, and 1 for words that occur twice. Words are letters only, but for
+    signs around them, and are counted before they are taken apart.
     """
-    words = found.select(F.explode(F.concat("before", "after")).alias("w")).select(F.regexp_replace("w", r"[^\p{L}]+", "").alias("w")).filter("length(w) >= 3")
-    grams = words.select(F.explode(F.concat(_grams(F.col("w"), 2), _grams(F.col("w"), 3))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
-    first = grams.filter("length(gram) = 2").groupBy(F.substring("gram", 1, 1).alias("c")).agg(F.sum("n").alias("of"))
-    pairs = grams.filter("length(gram) = 2").join(first, F.substring("gram", 1, 1) == F.col("c")).select("gram", F.log((F.col("n") + 1) / (F.col("of") + 30)).alias("weight"))
-    return pairs.union(grams.filter("length(gram) = 3 and n >= 2").select("gram", F.lit(1.0).alias("weight")))
+    words = F.split("text", f"[{SPACE}]+") if "text" in frame.columns else F.concat("before", "after")
+    words = frame.select(F.explode(words).alias("w")).select(F.lower(F.regexp_extract("w", r"^[^\p{L}\p{Nd}]*(\p{L}{3,})[^\p{L}\p{Nd}]*$", 1)).alias("w"))
+    words = Scratch(frame.sparkSession, "words").keep(words.filter("w <> ''").groupBy("w").agg(F.count("*").alias("n")), "words")
+    pairs = words.select(F.explode(_grams(F.col("w"), 2)).alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
+    first = pairs.groupBy(F.substring("gram", 1, 1).alias("c")).agg(F.sum("n").alias("of"))
+    pairs = pairs.join(first, F.substring("gram", 1, 1) == F.col("c")).select("gram", F.log((F.col("n") + 1) / (F.col("of") + 30)).alias("weight"))
+    return pairs.union(words.filter(f"n >= 2 and length(w) between {LETTERS[0]} and {LETTERS[1]}").select(F.col("w").alias("gram"), F.lit(1.0).alias("weight")))
 
 
 def featured(found: DataFrame, grams: DataFrame) -> DataFrame:
@@ -85,14 +90,20 @@ def featured(found: DataFrame, grams: DataFrame) -> DataFrame:
     c = F.col("candidate")
     share = lambda pattern: F.regexp_count(c, F.lit(pattern)) / F.length(c)
     key = F.struct("doc_id", "tkey", "word", "nth")
-    unit = found.select(F.xxhash64(c).alias("h"), c.alias("c")).distinct().withColumn("gram", F.explode(F.concat(_grams(F.col("c"), 2), _grams(F.col("c"), 3))))
+    unit = found.select(c.alias("c")).distinct()
+    parts = f"""flatten(transform(sequence(1, length(c)), i -> transform(filter(sequence({LETTERS[0]}, {LETTERS[1]}), k -> i + k - 1 <= length(c)),
+        k -> named_struct('i', i, 'k', k, 'gram', lower(substring(c, i, k))))))"""
+    pairs = "transform(filter(sequence(1, length(c)), i -> i < length(c)), i -> named_struct('i', i, 'k', 2, 'gram', lower(substring(c, i, 2))))"
+    unit = unit.select("c", F.explode(F.expr(f"concat({pairs}, filter({parts}, x -> x.gram rlike '^[a-z]+$'))")).alias("x")).select("c", "x.*")
     sums = unit.join(small(grams), "gram", "left").groupBy("c").agg(
-        F.avg(F.when(F.length("gram") == 2, F.coalesce("weight", F.lit(-7.0)))).alias("likelihood"),
-        F.avg(F.when(F.length("gram") == 3, F.coalesce("weight", F.lit(0.0)))).alias("coverage"))
+        F.avg(F.when(F.col("k") == 2, F.coalesce("weight", F.lit(-7.0)))).alias("likelihood"),
+        F.collect_set(F.when((F.col("k") > 2) & F.col("weight").isNotNull(), F.struct("i", "k"))).alias("held"))
+    sums = sums.select("c", "likelihood", F.expr("size(array_distinct(flatten(transform(held, x -> sequence(x.i, x.i + x.k - 1))))) / length(c)").alias("coverage"))
     near = F.concat(F.coalesce(F.get("before", F.size("before") - 2), F.lit("")), F.lit(" "), F.coalesce(F.get("before", F.size("before") - 1), F.lit("")), F.lit(" "), F.col("head"))
     path = F.coalesce("path", F.lit(""))
     flag = lambda condition: F.coalesce(condition.cast("double"), F.lit(0.0))
-    return found.join(sums, c == F.col("c"), "left").drop("c").select(
+    found = found.join(sums, c == F.col("c"), "left").drop("c").fillna({"likelihood": -7.0, "coverage": 0.0})
+    return found.select(
         "*", key.alias("key"), F.length(c).cast("double").alias("length"), share("[0-9]").alias("digits"), share("[A-Z]").alias("uppers"),
         share("[aeiouAEIOU]").alias("vowels"), (F.size(F.array_distinct(F.split(c, ""))) / F.length(c)).alias("distinct"),
         share("(?<=[A-Za-z])[0-9]|(?<=[0-9])[A-Za-z]").alias("switches"), share("(?<=[a-z])[A-Z]|(?<=[A-Z])[a-z]").alias("cases"),
@@ -132,7 +143,7 @@ def secret_scan(docs: DataFrame, path: str = "source", labels: DataFrame | None
     """
     scratch = Scratch(docs.sparkSession, "secrets")
     found = scratch.keep(findings(docs, path), "findings")
-    rows = scratch.keep(featured(found, scratch.keep(dictionary(found), "grams")).withColumn("label", known(found)), "featured")
+    rows = scratch.keep(featured(found, scratch.keep(dictionary(docs.select("text")), "grams")).withColumn("label", known(found)), "featured")
     if labels is None:
         labelled = rows.filter("label is not null and pmod(crc32(cast(doc_id as string)), 3) <> 1")
     else:

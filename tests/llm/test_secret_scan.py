@@ -54,6 +54,13 @@ def test_candidates_with_their_words(rows):
     assert out[0].before == ["a", "token", "="] and out[0].after == ["end", "short1", "x/0123456789abcdef0,9123456789abcdef0", "antidisestablishmentarianism"]
 
 
+def test_dictionary_is_of_all_documents(rows):
+    docs = rows([(1, "s", "return/harvest/window/garden2"), (2, "s", "the harvest, a window (garden) we return"), (3, "s", "Return Window Harvest Garden")], SCHEMA)
+    out = featured(findings(docs), dictionary(docs)).first()
+    assert out.coverage == 25 / 29 and out.likelihood > -7
+    assert secret_scan(docs).count() == 1
+
+
 def test_features_are_numbers(rows):
     docs, _ = corpus(40)
     found = findings(rows(docs + [(99, None, "0123456789abcdef0")], SCHEMA))
