@@ -28,6 +28,9 @@ _RUN = r"[A-Za-z0-9+/_-]{16,}"
 #: Sixteen characters of which one is a digit, or twenty.
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?:(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}|[A-Za-z0-9+/_-]{20,})"
 _ASKS = r"(?i)pass(?:word|wd|phrase)?|pwd|secret|token|api.?key|access.?key|auth|credential|bearer|private"
+#: A value after a keyword and an assignment mark, and the userinfo of a URL.
+_VALUE = rf"{_ASKS.replace('(?i)', '(?i)(?:')})(?:[_-]\w+)?[\"'`\]]*\s*(?::=|=>|[=:]+)\s*[\"'`]?([^\s\"'`]+)"
+_USERINFO = r"://(?:[^\s/@:]*:)?([^\s/]+)@"
 _ASSIGNS = r"[=:]\s*[\"'`]?$"
 _ISSUED = r"^(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,}|glpat-[A-Za-z0-9_-]{20,}|sk-[A-Za-z0-9_-]{20,})$"
 _MOCK = r"(?i)test|example|sample|mock|fixture|doc"
@@ -43,16 +46,25 @@ def findings(docs: DataFrame, path: str = "source") -> DataFrame:
     before it), before, after (words around), path. Rows that repeat give their findings once.
     """
     own = docs.select("doc_id", text_key(F.col("text")).alias("tkey"), F.col(path).cast("string").alias("path"), "text")
-    own = own.filter(F.col("text").rlike(_RUN)).withColumn("words", F.split("text", f"[{SPACE}]+"))
-    at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda k: F.get("words", k).rlike(CANDIDATE))
-    own = own.select("doc_id", "tkey", "path", "words", F.explode(at).alias("word"))
+    own = own.filter(F.col("text").rlike(_RUN) | F.col("text").rlike(_VALUE) | F.col("text").rlike(_USERINFO)).withColumn("words", F.split("text", f"[{SPACE}]+"))
+    lead = lambda k: F.array_join(F.slice("words", F.greatest(k - 1, F.lit(1)), F.least(k, F.lit(2))), " ")  # noqa: E731 - two words before
+    given = lambda k: F.concat(F.when(k > 0, F.concat(lead(k), F.lit(" "))).otherwise(F.lit("")), F.get("words", k))
+    at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda k: F.get("words", k).rlike(CANDIDATE) | F.get("words", k).rlike(_USERINFO) | given(k).rlike(_VALUE + r"[\"'`]*[^\s\w]*$"))
+    own = own.select("doc_id", "tkey", "path", "words", F.explode(at).alias("word")).withColumn("given", given(F.col("word")))
     own = own.select(
         "doc_id", "tkey", "path", "word", F.get("words", F.col("word")).alias("own"),
         F.slice("words", F.greatest(F.col("word") - AROUND, F.lit(0)) + 1, F.least(F.col("word"), F.lit(AROUND))).alias("before"),
-        F.slice("words", F.col("word") + 2, AROUND).alias("after"))
-    found = F.regexp_extract_all("own", F.lit(CANDIDATE), F.lit(0))
-    own = own.select("*", F.posexplode(found).alias("nth", "candidate")).withColumn("head", F.get(F.split("own", CANDIDATE, -1), F.col("nth")))
-    return own.drop("own").distinct()
+        F.slice("words", F.col("word") + 2, AROUND).alias("after"), "given")
+    own = own.withColumn("runs", F.regexp_extract_all("own", F.lit(CANDIDATE), F.lit(0)))
+    # those that stand in the word itself, without the signs that close a sentence or a bracket
+    values = F.concat(F.regexp_extract_all("given", F.lit(_VALUE), F.lit(1)), F.regexp_extract_all("own", F.lit(_USERINFO), F.lit(1)))
+    values = F.transform(values, lambda v: F.regexp_replace(v, r"[,;.)\]}>]+$", ""))
+    own = own.withColumn("values", F.filter(F.array_distinct(values), lambda v: (v != "") & F.contains("own", v)))
+    own = own.withColumn("values", F.array_except("values", "runs"))
+    own = own.select("*", F.posexplode(F.concat("runs", "values")).alias("nth", "candidate")).withColumn(
+        "head", F.when(F.col("nth") < F.size("runs"), F.get(F.split("own", CANDIDATE, -1), F.col("nth")))
+        .otherwise(F.expr("left(own, instr(own, candidate) - 1)")))
+    return own.drop("own", "given", "runs", "values").distinct()
 
 
 def known(found: DataFrame) -> Column:

@@ -54,6 +54,13 @@ def test_candidates_with_their_words(rows):
     assert out[0].before == ["a", "token", "="] and out[0].after == ["end", "short1", "x/0123456789abcdef0,9123456789abcdef0", "antidisestablishmentarianism"]
 
 
+def test_assigned_values_and_userinfo_of_any_form(rows):
+    text = "set password=Tr0ub4dor&3, and pwd: hunter2 or secret = 'a!b.c$d@e' at ftp://user:s3cret@host/x then auth_token: abcdefghijklmnop done"
+    out = findings(rows([(1, "s", text)], SCHEMA)).orderBy("word").collect()
+    assert [r.candidate for r in out] == ["Tr0ub4dor&3", "hunter2", "a!b.c$d@e", "s3cret", "abcdefghijklmnop"]
+    assert out[0].head == "password=" and out[3].head == "ftp://user:"
+
+
 def test_dictionary_is_of_all_documents(rows):
     docs = rows([(1, "s", "return/harvest/window/garden2"), (2, "s", "the harvest, a window (garden) we return"), (3, "s", "Return Window Harvest Garden")], SCHEMA)
     out = featured(findings(docs), dictionary(docs)).first()
