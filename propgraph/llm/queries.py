@@ -1,6 +1,7 @@
 """The registered queries of this package, and SQL where it can say the same."""
 
 import corpus_pipeline
+from propgraph.llm.byte_bpe import op11_byte_bpe
 from propgraph.llm.chat import OP10_SQL, op10_chat_format
 from propgraph.llm.decontaminate import op9_decontaminate
 from propgraph.llm.jaccard_join import op8_jaccard_join
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_chat_format": op10_chat_format,
+    "op11_byte_bpe": op11_byte_bpe,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
