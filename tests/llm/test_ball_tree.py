@@ -1,0 +1,105 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from oracle import connect, expected, rows_of
+from propgraph.llm import ball_tree
+from propgraph.llm.ball_tree import OP12_SQL, BallTree, Top, op12_lexical_search, search
+
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+FOLD = {b: b + 32 for b in range(65, 91)}
+DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
+
+
+def brute(docs, items, k=50):
+    bags = [(d, Counter(TERM.findall((t or "").translate(FOLD)))) for d, t in docs]
+    bags = [(d, c) for d, c in bags if c]
+    n_all, l_all = len(bags), sum(sum(c.values()) for _, c in bags)
+    df = Counter(t for _, c in bags for t in c)
+    asked = {}
+    for item, text in items:
+        asked.setdefault(item, set()).update(TERM.findall((text or "").translate(FOLD)))
+    out = []
+    for item, terms in asked.items():
+        scores = []
+        for d, c in bags:
+            m = 50 + 50 * sum(c.values()) * n_all // l_all
+            score = sum(math.floor(1000 * math.log((2 * n_all + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 20 * m)) for t in terms if t in c)
+            if score:
+                scores.append((-score, d is None, d or 0, d))
+        out += [(item, r + 1, s[3], -s[0]) for r, s in enumerate(sorted(scores, key=lambda s: s[:3])[:k])]
+    return sorted(out, key=str)
+
+
+def texts(r, n, words="a b c d e f g the The of É日 x1 42 _ - \x00".split(" ")):
+    return [" ".join(r.choice(words[: r.choice([4, 9, 16])]) for _ in range(r.choice([0, 1, 5, 20, 200]))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("tree_terms, leaf, block_bytes", [(1 << 20, 128, 1 << 20), (60, 1, 400), (1, 2, 1 << 20)])
+def test_like_brute_force(rows, tree_terms, leaf, block_bytes):
+    r = random.Random(5)
+    docs = list(zip([*range(130), 7, 7, None, None], [*texts(r, 120), None, "", "—", "a" * 50_000, *["same words here the a"] * 10], strict=True))
+    items = list(zip([*range(20), 3, None, 21, 22], [*texts(r, 20), "the same here", "here words", None, "notfound"], strict=True))
+    got = search(rows(docs, DOCS, 5), rows(items, ITEMS), 50, block_bytes, tree_terms, leaf).collect()
+    assert sorted((tuple(x) for x in got), key=str) == brute(docs, items)
+
+
+def test_columns_of_other_names_and_empty_tables(rows):
+    docs = rows([(1, "a b", 3, "x"), (2, "a", 4, "y")], f"{DOCS}, n long, IDS string")
+    items = rows([(1, "a c", 9)], f"{ITEMS}, score long")
+    assert [tuple(x)[:3] for x in search(docs, items).orderBy("rank").collect()] == [(x[0], x[1], x[2]) for x in brute([(1, "a b"), (2, "a")], [(1, "a c")])]
+    assert search(rows([], DOCS), items).count() == 0
+    assert search(docs, rows([], ITEMS)).count() == 0
+    assert search(rows([(1, None), (2, "...")], DOCS), items).count() == 0
+
+
+def test_ties_go_to_the_smaller_id(rows):
+    docs = [(k, "same text") for k in range(300, 0, -1)] + [(k + 1000, f"other {k}") for k in range(300)]
+    got = search(rows(docs, DOCS, 7), rows([(1, "same text")], ITEMS)).orderBy("rank").collect()
+    assert [x.doc_id for x in got] == list(range(1, 51)) and len({x.score for x in got}) == 1
+
+
+def test_bounds_hold_and_prune():
+    """No document scores above the bound of a node that holds it; documents unlike the query aren't scored."""
+    r = np.random.default_rng(2)
+    ids, values, lengths = [], [], []
+    for d in range(2000):  # ten groups, each with words of its own
+        own = np.sort(r.choice(40, 12, replace=False)) + 40 * (d % 10)
+        ids.append(own), lengths.append(12), values.append(r.integers(100_000, 900_000, 12))
+    weights = r.integers(0, 9000, 400)
+    tree = BallTree(np.concatenate(ids), np.concatenate(values), np.append(0, np.cumsum(lengths)), weights, 16)
+    for group in range(10):
+        terms = np.sort(r.choice(40, 8, replace=False)) + 40 * group
+        query = np.zeros(len(tree.terms))
+        at = np.searchsorted(tree.terms, terms)
+        query[at] = tree.roots[at]
+        exact = np.array([sum(int(weights[t]) * int(v) for t, v in zip(i, x) if t in set(terms)) for i, x in zip(ids, values)])
+        for node, (a, b) in enumerate(tree.range):
+            assert exact[tree.order[a:b]].max() <= tree.bound(node, query)
+        top = Top(5)
+        scored = tree.search(terms, top, np.arange(2000), np.zeros(2000, bool))
+        assert top.scores.tolist() == sorted(exact.tolist(), reverse=True)[:5]
+        assert scored <= 400
+
+
+def test_copies_have_no_radius_to_speak_of():
+    tree = BallTree(np.tile([1, 5, 9], 500), np.tile([333_333, 250_000, 900_000], 500), np.arange(0, 1503, 3), np.full(10, 4321), 16)
+    assert max(tree.radius) < 1e-4 * min(np.sqrt(c @ c) for _, c in tree.centres)
+
+
+def test_blocks_are_bounded(rows):
+    asked = rows([(i, f"term{i}-{j}".encode()) for i in range(100) for j in range(10)], "item_id long, term binary")
+    assert ball_tree.blocks_of(asked, 1 << 20) == 1
+    assert ball_tree.blocks_of(asked, 2000) >= 12
+    assert ball_tree.blocks_of(asked.limit(0), 10) == 1
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001"])
+def test_query_like_its_sql(spark, folder):
+    frame = op12_lexical_search(spark, folder)
+    names, wanted, _ = expected(connect(folder), OP12_SQL)
+    assert sorted(frame.columns) == names and rows_of(frame.columns, frame.collect()) == wanted
