@@ -12,6 +12,8 @@ from pyspark.sql.types import StructType
 
 #: Rows up to which a narrow side may be broadcast; beyond, Spark shuffles both sides.
 BROADCAST_ROWS = 1_000_000
+#: Bytes up to which a side may be broadcast, and what a row takes besides its values.
+BROADCAST_BYTES, ROW_BYTES = 64 << 20, 48
 #: Characters that end a word.
 SPACE = r"\x20\x09-\x0D"
 
@@ -83,3 +85,15 @@ class Scratch:
 def small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """The frame, to be broadcast if it has few rows. It should be a scratch table: it is counted."""
     return F.broadcast(frame) if frame.count() <= rows else frame
+
+
+def light(frame: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """The frame, to be broadcast if its values, measured as text, take at most so many bytes.
+
+    It should be a scratch table: its rows are counted and, unless these are too many, measured.
+    """
+    rows = frame.count()
+    if rows * ROW_BYTES > most:
+        return frame
+    size = frame.agg(F.sum(F.octet_length(F.to_json(F.struct(*frame.columns))))).first()[0] or 0
+    return F.broadcast(frame) if rows * ROW_BYTES + size <= most else frame

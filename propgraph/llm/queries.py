@@ -1,9 +1,11 @@
 """The registered queries of this package, and SQL where it can say the same."""
 
 import corpus_pipeline
+from propgraph.llm.ball_tree import OP12_SQL, op12_lexical_search
 from propgraph.llm.byte_bpe import op11_byte_bpe
 from propgraph.llm.chat import OP10_SQL, op10_chat_format
 from propgraph.llm.decontaminate import op9_decontaminate
+from propgraph.llm.iceberg import OP13_SQL, op13_divergence
 from propgraph.llm.jaccard_join import op8_jaccard_join
 from propgraph.llm.license_scan import op7_license_scan
 from propgraph.llm.line_dedup import OP6_SQL, op6_line_dedup
@@ -25,10 +27,14 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_chat_format": op10_chat_format,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_divergence": op13_divergence,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
     "op6_line_dedup": OP6_SQL,
     "op10_chat_format": OP10_SQL,
+    "op12_lexical_search": OP12_SQL,
+    "op13_divergence": OP13_SQL,
 }
