@@ -20,12 +20,11 @@ ROOT_CONCEPT = "thing"
 DEFAULT_LABEL = "hasEntity"
 
 # Bookkeeping columns of this library: who may see an element, is it hidden, and which
-# written segment and bucket of a stored graph it is in.
+# bucket of a stored graph it is in.
 VISIBILITY = "_visibility"
 HIDDEN = "_hidden"
-SEGMENT = "_segment"
 BUCKET = "_bucket"
-BOOKKEEPING = (VISIBILITY, HIDDEN, SEGMENT, BUCKET)
+BOOKKEEPING = (VISIBILITY, HIDDEN, BUCKET)
 
 
 def type_column(element_type: str) -> str:

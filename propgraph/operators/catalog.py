@@ -113,6 +113,11 @@ def _new_property(catalog: Catalog, field: StructField) -> Property:
     )
 
 
+def register_entries(catalog: Catalog, properties: Iterable[Property] = (), types: Iterable[ElementType] = ()) -> Catalog:
+    """Add whole entries, as they are."""
+    return replace(catalog, properties=(*catalog.properties, *properties), types=(*catalog.types, *types))
+
+
 def register_types(catalog: Catalog, kind: str, names: Iterable[str]) -> Catalog:
     """Add concepts below the root concept, or relationships from and to it."""
     added = []

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propgraph.columns import (
     DEST_ID, EDGE, HIDDEN, ID, SOURCE_ID, VISIBILITY, is_true, named, property_columns, type_column,
 )
 from propgraph.functions.values import stored_value
+from propgraph.functions.visibility import well_formed
 from propgraph.operators.catalog import Catalog, conflicting_casts
 
 _BASE = "base"
 _BATCH = "batch"
 _WRITTEN = "__written"
+_FILE, _PLACE, _FIRST = "__file", "__place", "__first"
+#: Ids of more digits are never handed out.
+_DIGITS = 37
 
 
 def _present(value: Column, name: str) -> Column:
@@ -47,7 +51,7 @@ def prepare(
     if element_type == EDGE:
         columns += [_present(named(c).cast("string"), c).alias(c) for c in (SOURCE_ID, DEST_ID)]
     if VISIBILITY in batch.columns:
-        columns.append(F.coalesce(named(VISIBILITY).cast("string"), F.lit("")).alias(VISIBILITY))
+        columns.append(well_formed(F.coalesce(named(VISIBILITY).cast("string"), F.lit(""))).alias(VISIBILITY))
     if HIDDEN in batch.columns:
         columns.append(is_true(named(HIDDEN)).alias(HIDDEN))
 
@@ -59,21 +63,35 @@ def prepare(
     return batch.select(*columns)
 
 
-def assign_ids(frame: DataFrame, start: int) -> DataFrame:
-    """Give each row a new id: a whole number from `start` up, as text, unique but with gaps.
+def assign_ids(written: DataFrame, start: int) -> DataFrame:
+    """Give each row of a written Parquet table the next whole number from `start` up, as text, without gaps.
 
-    Recomputing the frame may hand out other numbers: write it once, then read it back, and let no
-    shuffle come between. Numbers have up to 38 digits.
+    A row's number is the rows in the files before its own, plus its place in its file: files are fixed, so
+    tasks that run again give the same ids. The rows are counted by file, and only these counts are sent around.
     """
-    number = F.lit(str(start)).cast("decimal(38,0)") + F.monotonically_increasing_id().cast("decimal(38,0)")
-    return frame.select(number.cast("string").alias(ID), *[named(c) for c in frame.columns])
+    file, place = F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(_PLACE)
+    before = Window.orderBy(_FILE).rowsBetween(Window.unboundedPreceding, -1)
+    counts = written.groupBy(file).agg(F.count("*").alias("n"))
+    firsts = counts.select(_FILE, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_FIRST))
+    numbered = written.select("*", file, place).join(F.broadcast(firsts), _FILE)  # a row per file
+    number = F.lit(str(start)).cast("decimal(38,0)") + (F.col(_FIRST) + F.col(_PLACE)).cast("decimal(38,0)")
+    return numbered.select(number.cast("string").alias(ID), *[named(c) for c in written.columns])
 
 
-def reject_repeated_ids(written: DataFrame) -> None:
-    """Raise if two rows of a written table have one id. Only ids are read; counts combine before the shuffle."""
-    again = written.groupBy(ID).agg(F.count("*").alias("n")).filter("n > 1").select(ID).first()
-    if again is not None:
-        raise ValueError(f"More than one row in the batch for _id {again[0]}")
+def check_ids(frame: DataFrame, may_repeat: bool = True) -> int:
+    """The highest number among a frame's ids, -1 if none is one; raises if two rows have one id.
+
+    Only ids are read; where they can't repeat, nothing is shuffled.
+    """
+    number = F.max(F.when(F.length(ID) <= _DIGITS, F.expr(f"try_cast({ID} AS decimal(38, 0))"))).alias("highest")
+    if not may_repeat:
+        highest = frame.agg(number).first().highest
+        return -1 if highest is None else int(highest)
+    counts = frame.groupBy(ID).agg(F.count("*").alias("n"))
+    found = counts.agg(number, F.max_by(ID, "n").alias("id"), F.max("n").alias("n")).first()
+    if (found.n or 0) > 1:
+        raise ValueError(f"More than one row in the batch for _id {found.id}")
+    return -1 if found.highest is None else int(found.highest)
 
 
 def last_of_each_id(batch: DataFrame, order_by: str) -> DataFrame:

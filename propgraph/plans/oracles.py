@@ -280,6 +280,16 @@ oracle("overwrite_filter",
 oracle("overwrite_dynamic",
        "SELECT _id, _conceptType, name, balance FROM people WHERE _conceptType = 'supplier' OR balance < 0", _PEOPLE)
 
+# ---- visibility expressions
+
+_NUMBER = "CAST(regexp_extract(_id, '[0-9]+') AS BIGINT) % 8"
+oracle("visible_by_expression",
+       f"SELECT _id, _conceptType, name FROM v WHERE CASE {_NUMBER} WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false WHEN 3 THEN false "
+       "WHEN 4 THEN true WHEN 5 THEN true WHEN 6 THEN false WHEN 7 THEN true END")
+oracle("stored_visible_by_expression",
+       f"SELECT _id, _edgeLabel, _sid, _did FROM e WHERE _edgeLabel = 'placed' AND CASE {_NUMBER} WHEN 0 THEN true WHEN 1 THEN false "
+       "WHEN 2 THEN true WHEN 3 THEN false WHEN 4 THEN true WHEN 5 THEN false WHEN 6 THEN true WHEN 7 THEN false END")
+
 # ---- catalog
 
 
@@ -339,6 +349,25 @@ oracle("delete_detach",
 oracle("dangling_edges",
        "SELECT _id, _edgeLabel, _sid FROM links WHERE _sid IN (SELECT _id FROM gone)", _DEBTORS)
 
+# ---- text index
+
+ORACLES["index_contains"] = """
+SELECT 'd' || doc_id AS _id, CASE WHEN lang = 'de' THEN 'translated' ELSE 'document' END AS _conceptType, lang,
+  CAST(length(text) + CASE WHEN lang = 'de' THEN 9 ELSE 0 END AS INTEGER) AS length
+FROM documents WHERE lang = 'de' AND text IS NOT NULL OR contains(text, 'tion the ')"""
+
+# ---- layouts of stored graphs
+
+oracle("stored_scan_range", "SELECT _id, _edgeLabel, _sid, _did FROM e WHERE _edgeLabel = 'placed'")
+oracle("stored_scan_shard", "SELECT _id, _conceptType, name, balance FROM people", _PEOPLE)
+
+# ---- edges of vertices
+
+_ENDS = ("ends AS (SELECT _sid AS _id, _id AS edge, _edgeLabel AS label, 'out' AS direction, _did AS other FROM e "
+         "UNION ALL SELECT _did, _id, _edgeLabel, 'in', _sid FROM e)")
+oracle("edge_references_of_vertices", "SELECT *, true AS bounded FROM ends", _ENDS)
+oracle("edge_labels_of_vertices", "SELECT _id, label, direction, count(*) AS n FROM ends GROUP BY ALL", _ENDS)
+
 # ---- compositions
 
 oracle("count_by_concept", "SELECT _conceptType, count(*) AS n FROM v GROUP BY _conceptType")

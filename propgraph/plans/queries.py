@@ -23,6 +23,7 @@ from propgraph.operators.catalog import (
 )
 from propgraph.api import load, save
 from propgraph.operators.match import match_edges, match_vertices, where
+from propgraph.operators.references import edge_labels, edge_references
 from propgraph.options import GraphOptions
 from propgraph.plans.scratch import scratch_root
 from propgraph.sources import tables as t
@@ -495,13 +496,12 @@ def stored_texts_of_odd_types(spark, sf_dir):
 
 @query
 def compacted_vertices(spark, sf_dir):
-    """All vertices, each kind inserted by itself, after their segments were merged and old files removed."""
+    """All vertices, each kind inserted by itself, after small files of one partition were merged."""
     store = _store(spark)
     for frame in (t.customers(spark, sf_dir), t.suppliers(spark, sf_dir)):
         store.write(frame, ANY_VERTEX, type_from_column=True)
     store.write(_owing(spark, sf_dir).select(ID, F.lit(0.0).alias("balance"), CONCEPT_TYPE), ANY_VERTEX, type_from_column=True)
     store.compact()
-    store.vacuum()
     return _state(store, VERTEX, "name", "balance", "segment")
 
 
@@ -585,6 +585,32 @@ def overwrite_dynamic(spark, sf_dir):
     return _state(store, VERTEX, "name", "balance")
 
 
+# ---- visibility expressions --------------------------------------------------------------
+
+#: Visibilities by the number in an element's id.
+EXPRESSIONS = ("", "a", "b", "a&b", "a|b", "a&(b|c)", "(a&b)|(c&d)", '"a b"&c')
+
+
+def _with_visibility(frame: DataFrame) -> DataFrame:
+    number = F.regexp_extract(ID, "[0-9]+", 0).cast("bigint") % len(EXPRESSIONS)
+    return frame.withColumn(VISIBILITY, F.element_at(F.array(*map(F.lit, EXPRESSIONS)), (number + 1).cast("int")))
+
+
+@query
+def visible_by_expression(spark, sf_dir):
+    """All vertices, each with an expression from its id: those that three authorizations satisfy."""
+    graph = graph_of(spark, [_with_visibility(t.tables_graph(spark, sf_dir, kinds=(VERTEX,)).vertices)])
+    return read_elements(graph, VERTEX, authorizations=("a", "c", "a b")).select(ID, CONCEPT_TYPE, "name")
+
+
+@query
+def stored_visible_by_expression(spark, sf_dir):
+    """Edges of a stored graph, whose expressions are evaluated once each and looked up."""
+    store = _store(spark)
+    store.write(_with_visibility(t.placed(spark, sf_dir)), PLACED)
+    return read_elements(store.graph(), EDGE, authorizations=("b", "c", "d")).select(ID, EDGE_LABEL, SOURCE_ID, DEST_ID)
+
+
 # ---- catalog -----------------------------------------------------------------------------
 
 
@@ -701,7 +727,7 @@ def drop_types_of_store(spark, sf_dir):
     """Types dropped from the store's catalog; the elements stay."""
     store = _debtors_deleted(spark, sf_dir, detach=True)
     store.drop_label("placed")
-    listed = types_frame(spark, store.state().catalog, RELATIONSHIP)
+    listed = types_frame(spark, store.catalog(), RELATIONSHIP)
     counts = read_elements(store.graph(), EDGE).groupBy(F.col(EDGE_LABEL).alias("name")).agg(F.count("*").alias("n"))
     return counts.join(listed.select("name", F.lit(True).alias("listed")), "name", "left").select(
         "name", "n", F.coalesce("listed", F.lit(False)).alias("listed"))
@@ -730,6 +756,54 @@ def dangling_edges(spark, sf_dir):
     return read_elements(graph, EDGE).join(ids, SOURCE_ID, "left_anti").select(ID, EDGE_LABEL, SOURCE_ID)
 
 
+# ---- text index --------------------------------------------------------------------------
+
+
+@query
+def index_contains(spark, sf_dir):
+    """Documents that contain a passage, found through the index; some were changed after it was made."""
+    store = _store(spark)
+    documents = t.table(spark, sf_dir, "documents").select(key("d", "doc_id").alias(ID), "text", "lang")
+    store.write(documents, GraphOptions(VERTEX, concept_type="document"))
+    store.index_text(VERTEX, "text")
+    late = documents.filter(F.col("lang") == "de").select(ID, F.concat(F.lit("tion the "), "text").alias("text"))
+    store.write(late, GraphOptions(VERTEX, concept_type="translated"))
+    return store.containing(VERTEX, "text", "tion the ").select(ID, CONCEPT_TYPE, "lang", F.length("text").alias("length"))
+
+
+# ---- layouts of stored graphs ------------------------------------------------------------
+
+
+@query
+def stored_scan_range(spark, sf_dir):
+    """Stored edges read in ranges of their ids, each a filter on sorted files."""
+    store = _store(spark)
+    store.write(t.placed(spark, sf_dir), PLACED)
+    return read_elements(store.graph(), EDGE, partitioning="range", partitions=6).select(ID, EDGE_LABEL, SOURCE_ID, DEST_ID)
+
+
+@query
+def stored_scan_shard(spark, sf_dir):
+    """Stored vertices read in shards that are groups of buckets."""
+    return read_elements(_people(spark, sf_dir).graph(), VERTEX, partitioning="shard", partitions=3).select(ID, CONCEPT_TYPE, "name", "balance")
+
+
+# ---- edges of vertices -------------------------------------------------------------------
+
+
+@query
+def edge_references_of_vertices(spark, sf_dir):
+    """Every vertex's edges, taken from its lists, with the number of each list's edges kept in bounds."""
+    lists = edge_references(t.tables_graph(spark, sf_dir, kinds=(EDGE,)), chunk=50)
+    each = lists.select(ID, F.explode("edges").alias("e"), (F.size("edges") <= 50).alias("bounded"))
+    return each.select(ID, "e.edge", "e.label", "e.direction", "e.other", "bounded")
+
+
+@query
+def edge_labels_of_vertices(spark, sf_dir):
+    return edge_labels(t.tables_graph(spark, sf_dir, kinds=(EDGE,)))
+
+
 # ---- compositions with native operators --------------------------------------------------
 
 

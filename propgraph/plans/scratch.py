@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from propgraph.sources.store import StoreFiles
+from propgraph.sources.files import remove
 
 _FOLDERS: dict[str, str] = {}
 
@@ -41,4 +41,4 @@ def remove_scratch(spark: SparkSession) -> None:
         return
     folder = _FOLDERS.pop(spark.sparkContext.applicationId, None)
     if folder:
-        StoreFiles(spark).delete(folder)
+        remove(spark, folder)

@@ -11,33 +11,42 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from propgraph.columns import (
-    BOOKKEEPING, EDGE, HIDDEN, ID, RESERVED, VERTEX, VISIBILITY, named, null_of, reserved_columns,
+    BOOKKEEPING, BUCKET, EDGE, HIDDEN, ID, RESERVED, VERTEX, VISIBILITY, named, null_of, reserved_columns,
 )
 from propgraph.functions.types import same_type
 from propgraph.functions.values import stored_as_is, stored_value
+from propgraph.functions.visibility import is_expression, is_plain, permits
 from propgraph.operators.catalog import (
     CONCEPT, RELATIONSHIP, Catalog, conflicting_casts, infer_schema, register_properties,
     register_types,
 )
 from propgraph.options import HINT_WITH_HIDDEN, HINTS_WITH_PROPERTIES, GraphOptions
+from propgraph.sources.files import empty
+
+
+_ALLOWED = "__allowed"
+#: Tasks up to which a stored frame is laid out by filters, and ids sampled for each cut between ranges.
+UNSHUFFLED, CUT_SAMPLE = 64, 100
 
 
 @dataclass(frozen=True)
 class PropertyGraph:
-    """Lazy vertex and edge frames with the catalog that describes them."""
+    """Lazy vertex and edge frames with the catalog that describes them.
+
+    `expressions`, if known: a small table (_visibility) of all visibilities that hold operators.
+    """
 
     catalog: Catalog
     vertices: DataFrame
     edges: DataFrame
+    expressions: DataFrame | None = None
+    #: Are the frames tables in buckets, sorted by id?
+    stored: bool = False
 
     def frame(self, element_type: str) -> DataFrame:
         return self.vertices if element_type == VERTEX else self.edges
 
 
-def empty(spark: SparkSession, schema: StructType) -> DataFrame:
-    return spark.range(0).select(*[null_of(f.dataType).alias(f.name) for f in schema.fields])
-
-
 def project(frame: DataFrame, schema: StructType, keep: Iterable[str] | None = None) -> DataFrame:
     """Columns of `schema` by name and in its order; names the frame lacks are null.
 
@@ -99,31 +108,68 @@ def graph_of(
     return PropertyGraph(catalog, vertex_frame, edge_frame)
 
 
-def visible(frame: DataFrame, authorizations: Iterable[str] = (), include_hidden: bool = False) -> DataFrame:
-    """Elements that carry no visibility token or one of the given tokens, and are not hidden."""
+def visible(frame: DataFrame, authorizations: Iterable[str] = (), include_hidden: bool = False, expressions: DataFrame | None = None) -> DataFrame:
+    """Elements whose visibility the authorizations satisfy, and that are not hidden.
+
+    Plain terms are compared by the scan; only what holds an operator is evaluated. With `expressions`, a table
+    (_visibility) of all that do, each is evaluated once and looked up.
+    """
     if VISIBILITY in frame.columns:
-        token = named(VISIBILITY)
-        frame = frame.filter(token.isNull() | token.isin("", *authorizations))
+        token, authorizations = named(VISIBILITY), tuple(authorizations)
+        plain = token.isNull() | token.isin("", *filter(is_plain, authorizations))
+        frame = frame.filter(plain | is_expression(token))
+        if expressions is None:
+            frame = frame.filter(permits(token, authorizations))
+        else:
+            allowed = expressions.filter(permits(named(VISIBILITY), authorizations)).select(named(VISIBILITY).alias(_ALLOWED))
+            frame = frame.join(allowed, token == F.col(_ALLOWED), "left").filter(plain | F.col(_ALLOWED).isNotNull()).drop(_ALLOWED)
     if HIDDEN in frame.columns and not include_hidden:
         frame = frame.filter(named(HIDDEN).isNull() | (named(HIDDEN) == F.lit(False)))
     return frame
 
 
+def _in_parts(frame: DataFrame, conditions: Sequence[Column]) -> DataFrame:
+    """The rows of each condition as a task of its own, read where they lie: no shuffle.
+
+    The last may be two: Spark makes one task of a union whose sides are all single tasks.
+    """
+    parts = [frame.filter(c).coalesce(2 if k == len(conditions) - 1 else 1) for k, c in enumerate(conditions)]
+    return reduce(lambda a, b: a.union(b), parts)
+
+
+def id_cuts(frame: DataFrame, parts: int) -> list[str]:
+    """Ids that cut the frame into about equal ranges, from a sample of bounded size: the ids of least hash."""
+    sample = sorted(r[0] for r in frame.select(ID).orderBy(F.xxhash64(ID), ID).limit(CUT_SAMPLE * parts).collect())
+    return sorted({sample[k * len(sample) // parts] for k in range(1, parts)}) if sample else []
+
+
 def distribute(
     frame: DataFrame, strategy: str, partitions: int | None = None,
-    max_ranges: int | None = None,
+    max_ranges: int | None = None, stored: bool = False,
 ) -> DataFrame:
-    """Lay out a scan's rows over tasks.
+    """Lay out a scan's rows over tasks. Each row comes once.
+
+    `none`, and `shard` without a count, keep the file splits: no shuffle. `shard` with a count hashes by id;
+    `range` cuts the ids into as many ranges as asked for, or as there are shuffle partitions; `max_ranges`, if
+    given, limits them.
 
-    `none`, and `shard` without a count, keep the file splits: no shuffle. `shard` with a
-    count hashes by id; `range` cuts the ids into as many ranges as asked for, or as there are
-    shuffle partitions; `max_ranges`, if given, limits them. Each row comes once.
+    A stored frame isn't shuffled for that, up to UNSHUFFLED tasks: its shards are groups of its buckets, read by
+    partition filters; its ranges are filters on the id, which skip row groups and pages as files are sorted by id.
     """
     if strategy == "shard" and partitions:
+        buckets = sorted(r[0] for r in frame.select(BUCKET).distinct().collect()) if stored else []
+        if stored and partitions <= min(len(buckets), UNSHUFFLED):
+            return _in_parts(frame, [F.col(BUCKET).isin(*buckets[k::partitions]) for k in range(partitions)])
         return frame.repartition(partitions, ID)
     if strategy == "range":
         wanted = partitions or int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return frame.repartitionByRange(max(1, min(wanted, max_ranges or wanted)), ID)
+        wanted = max(1, min(wanted, max_ranges or wanted))
+        if stored and wanted <= UNSHUFFLED:
+            edges = [None, *id_cuts(frame, wanted), None]
+            low = [named(ID) >= c if c is not None else F.lit(True) for c in edges[:-1]]
+            high = [named(ID) < c if c is not None else F.lit(True) for c in edges[1:]]
+            return _in_parts(frame, [a & b for a, b in zip(low, high, strict=True)])
+        return frame.repartitionByRange(wanted, ID)
     return frame
 
 
@@ -146,8 +192,8 @@ def read_elements(
         element_type, tuple(authorizations), fetch_hints=fetch_hints, partitioning=partitioning
     )
     frame = visible(
-        graph.frame(element_type), options.authorizations, options.fetch_hints == HINT_WITH_HIDDEN
+        graph.frame(element_type), options.authorizations, options.fetch_hints == HINT_WITH_HIDDEN, graph.expressions
     )
     fetched = None if options.fetch_hints in HINTS_WITH_PROPERTIES else reserved_columns(element_type)
-    frame = project(frame, schema or infer_schema(graph.catalog, element_type), fetched)
-    return distribute(frame, options.partitioning, partitions, max_ranges)
+    frame = distribute(frame, options.partitioning, partitions, max_ranges, graph.stored)
+    return project(frame, schema or infer_schema(graph.catalog, element_type), fetched)

@@ -1,225 +1,44 @@
-"""A property graph kept as Parquet, changed by all-or-nothing commits.
+"""A stored property graph: two tables of elements, a catalog and the visibilities met, changed by Spark's own writes.
 
-Layout below the root folder:
+Inserts append. Upserts, overwrites and deletes read the partitions that hold a changed row and overwrite
+those, and no others, in one job (see `element_table`); `catalog/` is described in `catalog_table`.
 
-* `vertices/_segment=<name>/_conceptType=<type>/_bucket=<b>/*.parquet`, `edges/_segment=...`:
-  written once, never changed. One commit writes at most one segment per element kind. An
-  element's bucket is the hash of its id modulo the segment's number of buckets.
-* `_state/<n>.json`: one document saying which segments are live and what the catalog holds.
-  It is written under another name and renamed; the rename is the commit, and fails if there is
-  a document of that number. Until then readers see the version before.
-* `_staging/`: intermediate tables of running commits.
-
-An append writes only its own rows. Updates and deletes rewrite only the (segment, type, bucket)
-folders that hold a changed row; all others stay in place. One writer at a time: the commit of a
-second one raises.
+A job that fails changes nothing. Its commit moves partitions into place one after the other, and a change
+takes at most two jobs: one that dies in between is run again and then ends where it would have ended. Versions,
+isolation of readers and several writers at once are a table format's work.
 """
 
 from __future__ import annotations
 
-import json
-import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import asdict, dataclass, replace
-from functools import reduce
+from dataclasses import replace
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from propgraph.columns import (
-    BUCKET, DEST_ID, EDGE, HIDDEN, ID, SEGMENT, SOURCE_ID, VERTEX, VISIBILITY, is_true, named, reserved_columns,
-    type_column,
-)
-from propgraph.operators.catalog import (
-    CONCEPT, RELATIONSHIP, Catalog, ElementType, Property, drop_property, drop_type,
-    register_properties, register_types,
-)
+from propgraph.columns import BUCKET, DEST_ID, EDGE, ID, SOURCE_ID, VERTEX, VISIBILITY, named, type_column
+from propgraph.functions.visibility import is_expression
+from propgraph.operators.catalog import CONCEPT, RELATIONSHIP, Catalog, drop_property, drop_type, register_properties, register_types
 from propgraph.operators.mutate import (
-    append_elements, assign_ids, delete_where, last_of_each_id, prepare, reject_repeated_ids, update_matched,
+    append_elements, assign_ids, check_ids, delete_where, last_of_each_id, prepare, update_matched,
 )
 from propgraph.options import CONF_PREFIX, GraphOptions, require_choice
-from propgraph.sources.elements import PropertyGraph, empty
+from propgraph.sources import catalog_table as notes
+from propgraph.sources.element_table import ElementTable, with_buckets
+from propgraph.sources.elements import PropertyGraph, read_elements
+from propgraph.sources.files import empty, read_table, remove
+from propgraph.sources.text_index import TextIndex
 
-_SALT = "__salt"
 MODES = ("append", "overwrite", "overwrite_where", "overwrite_dynamic")
-#: Rows of a (type, bucket) above which later segments of the element kind get more buckets.
-BUCKET_ROWS = 1_000_000
-#: Numbers of buckets: at first, unless the session says otherwise, and at most; powers of two.
-BUCKETS, MOST_BUCKETS = 8, 1 << 16
-_DOCUMENT = re.compile(r"\d{20}\.json")
-#: Ids of more digits are never handed out.
-_DIGITS = 37
-
-Folder = tuple[str, str, int]
-
-
-@dataclass(frozen=True)
-class Segment:
-    """One written folder: rows by type and bucket, and the (type, bucket) folders a later commit replaced."""
-
-    name: str
-    buckets: int
-    rows: dict[str, dict[int, int]]
-    retired: tuple[tuple[str, int], ...] = ()
-
-    @property
-    def types(self) -> dict[str, int]:
-        """Live types with their rows."""
-        return {name: sum(buckets.values()) for name, buckets in self.rows.items()}
-
-
-@dataclass(frozen=True)
-class GraphState:
-    version: int = 0
-    next_id: int = 0
-    vertices: tuple[Segment, ...] = ()
-    edges: tuple[Segment, ...] = ()
-    catalog: Catalog = Catalog()
-
-    def to_json(self) -> str:
-        return json.dumps(asdict(self))
-
-    @classmethod
-    def from_json(cls, text: str) -> GraphState:
-        state = json.loads(text)
-
-        def segments(items: list[dict]) -> tuple[Segment, ...]:
-            return tuple(
-                Segment(
-                    i["name"], i["buckets"], {t: {int(b): n for b, n in own.items()} for t, own in i["rows"].items()},
-                    tuple((t, b) for t, b in i["retired"]))
-                for i in items)
-
-        catalog = state["catalog"]
-        return cls(
-            state["version"], state["next_id"], segments(state["vertices"]), segments(state["edges"]),
-            Catalog(
-                tuple(Property(**p) for p in catalog["properties"]),
-                tuple(ElementType(**t) for t in catalog["types"]),
-                tuple(catalog["retired_columns"]),
-            ),
-        )
-
-    def segments(self, element_type: str) -> tuple[Segment, ...]:
-        return self.vertices if element_type == VERTEX else self.edges
-
-    def with_segments(self, element_type: str, segments: tuple[Segment, ...]) -> GraphState:
-        return replace(self, **{"vertices" if element_type == VERTEX else "edges": segments})
-
-    def plus(self, element_type: str, live: tuple[Segment, ...], written: Segment) -> GraphState:
-        return self.with_segments(element_type, live + ((written,) if written.rows else ()))
-
-    def buckets(self, element_type: str, first: int) -> int:
-        """Buckets of the next segment: enough for the largest type, never fewer than before."""
-        rows: dict[str, int] = {}
-        for segment in self.segments(element_type):
-            for name, n in segment.types.items():
-                rows[name] = rows.get(name, 0) + n
-        wanted = max([first, *(s.buckets for s in self.segments(element_type))])
-        while wanted < MOST_BUCKETS and wanted * BUCKET_ROWS < max(rows.values(), default=0):
-            wanted *= 2
-        return wanted
-
-
-def _folder(element_type: str) -> str:
-    return "vertices" if element_type == VERTEX else "edges"
-
-
-def _bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64(named(ID)), F.lit(buckets)).cast("int")
-
-
-def _folders(frame: DataFrame, kind: str) -> set[Folder]:
-    """Distinct (segment, type, bucket) folders of the rows: no more than the store has."""
-    return {tuple(r) for r in frame.select(SEGMENT, kind, BUCKET).distinct().collect()}
-
-
-def _in_folders(folders: set[Folder], kind: str) -> Column:
-    """Is the row in one of the folders? Only partition columns, so the scan is pruned."""
-    by_type: dict[tuple[str, str], list[int]] = {}
-    for segment, name, bucket in sorted(folders):
-        by_type.setdefault((segment, name), []).append(bucket)
-    tests = [
-        (F.col(SEGMENT) == s) & (named(kind) == name) & F.col(BUCKET).isin(*buckets) for (s, name), buckets in by_type.items()]
-    return reduce(lambda a, b: a | b, tests)
-
-
-def _in_buckets(segments: tuple[Segment, ...], buckets: list[int], of: int) -> Column:
-    """Can an id of these buckets (of so many) be in the row's folder? Only partition columns."""
-    by_count: dict[int, list[str]] = {}
-    for segment in segments:
-        by_count.setdefault(segment.buckets, []).append(segment.name)
-    tests = [
-        F.col(SEGMENT).isin(*names) & F.col(BUCKET).isin(*sorted({b % count for b in buckets}))
-        for count, names in by_count.items()]
-    return reduce(lambda a, b: a | b, tests)
-
-
-def _retire(live: tuple[Segment, ...], folders: set[Folder]) -> tuple[Segment, ...]:
-    """The segments without the given folders; types and segments left with none are dropped."""
-    kept = []
-    for segment in live:
-        retired = {*segment.retired, *((t, b) for s, t, b in folders if s == segment.name)}
-        left = {t: {b: n for b, n in own.items() if (t, b) not in retired} for t, own in segment.rows.items()}
-        if left := {t: own for t, own in left.items() if own}:
-            kept.append(replace(segment, rows=left, retired=tuple(sorted(retired))))
-    return tuple(kept)
-
-
-def _whole_types(live: tuple[Segment, ...], types: set[str]) -> set[Folder]:
-    return {(s.name, t, b) for s in live for t, own in s.rows.items() if t in types for b in own}
-
-
-class StoreFiles:
-    """The few file operations that aren't reads or writes of tables, through Spark's file systems."""
-
-    def __init__(self, spark: SparkSession) -> None:
-        self._hadoop = spark._jvm.org.apache.hadoop.fs
-        self._java = spark._jvm.java
-        self._gateway = spark.sparkContext._gateway
-        self._conf = spark._jsc.hadoopConfiguration()
-
-    def _system(self, path: str):
-        target = self._hadoop.Path(path)
-        return target.getFileSystem(self._conf), target
-
-    def names(self, folder: str) -> list[str]:
-        """Names in a folder; none if there is no folder."""
-        system, target = self._system(folder)
-        return [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
-
-    def delete(self, path: str) -> None:
-        system, target = self._system(path)
-        system.delete(target, True)
-
-    def read(self, path: str) -> str:
-        system, target = self._system(path)
-        stream = system.open(target)
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-
-    def publish(self, text: str, path: str) -> None:
-        """Write a document so that it is there whole or not at all; FileExistsError if there is one."""
-        folder, _, name = path.rpartition("/")
-        hidden = f"{folder}/.{name}-{uuid.uuid4().hex}"
-        system, target = self._system(hidden)
-        stream = system.create(target, False)
-        stream.write(text.encode())
-        stream.close()
-        none = self._gateway.new_array(getattr(self._hadoop, "Options$Rename"), 0)
-        try:
-            self._hadoop.FileContext.getFileContext(target.toUri(), self._conf).rename(target, self._hadoop.Path(path), none)
-        except Py4JJavaError as error:
-            system.delete(target, False)
-            if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
-                raise FileExistsError(path) from error
-            raise
+#: Buckets of a new graph, unless the session's `spark.propgraph.buckets` says otherwise.
+BUCKETS = 8
+#: Bytes of visibility expressions up to which reads look them up; beyond, each row's is evaluated.
+EXPRESSION_BYTES = 8 << 20
+_VISIBILITIES = StructType([StructField(VISIBILITY, StringType())])
+_END = "__end"
 
 
 class GraphStore:
@@ -228,67 +47,30 @@ class GraphStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
-        self._files = StoreFiles(spark)
 
-    # ---- state ---------------------------------------------------------------------------
+    def _noted(self) -> notes.Noted:
+        return notes.read_catalog(self.spark, f"{self.root}/catalog")
 
-    def _versions(self) -> list[int]:
-        """Committed versions, oldest first. Other names, left by a crash, don't count."""
-        return sorted(int(n[:20]) for n in self._files.names(f"{self.root}/_state") if _DOCUMENT.fullmatch(n))
+    def _note(self, known: notes.Noted, events: list[tuple[str, object]]) -> notes.Noted:
+        return notes.note(self.spark, f"{self.root}/catalog", known, events)
 
-    def _document(self, version: int) -> str:
-        return f"{self.root}/_state/{version:020}.json"
+    def _table(self, element_type: str, catalog: Catalog) -> ElementTable:
+        return ElementTable(self.spark, self.root, element_type, catalog)
 
-    def state(self) -> GraphState:
-        """The latest committed state; an unwritten root is an empty graph. One document is read."""
-        versions = self._versions()
-        return GraphState.from_json(self._files.read(self._document(versions[-1]))) if versions else GraphState()
-
-    def _commit(self, state: GraphState) -> None:
-        document = replace(state, version=state.version + 1)
-        try:
-            self._files.publish(document.to_json(), self._document(document.version))
-        except FileExistsError as error:
-            raise RuntimeError(f"Another writer has committed version {document.version} of {self.root}") from error
-
-    # ---- reading -------------------------------------------------------------------------
-
-    def _scan(self, element_type: str, state: GraphState) -> DataFrame:
-        """Stored elements under their property names, with the segment and bucket each row is in."""
-        kind = type_column(element_type)
-        names = [c for c in reserved_columns(element_type) if c != kind]
-        fields = [StructField(c, StringType()) for c in names]
-        fields += [StructField(VISIBILITY, StringType()), StructField(HIDDEN, BooleanType())]
-        fields += [StructField(p.column, p.spark_type) for p in state.catalog.properties]
-        fields += [StructField(SEGMENT, StringType()), StructField(kind, StringType()), StructField(BUCKET, IntegerType())]
-        schema = StructType(fields)
-
-        live = state.segments(element_type)
-        if not live:
-            stored = empty(self.spark, schema)
-        else:
-            base = f"{self.root}/{_folder(element_type)}"
-            stored = (
-                self.spark.read.schema(schema).option("basePath", base)
-                .parquet(*[f"{base}/{SEGMENT}={s.name}" for s in live])
-            )
-            replaced = {(s.name, t, b) for s in live for t, b in s.retired}
-            if replaced:
-                stored = stored.filter(~_in_folders(replaced, kind))
-        columns = [named(c) for c in (*names, kind, VISIBILITY, HIDDEN, SEGMENT, BUCKET)]
-        columns += [named(p.column).alias(p.name) for p in state.catalog.properties]
-        return stored.select(*columns)
+    def catalog(self) -> Catalog:
+        return self._noted().catalog
 
     def graph(self) -> PropertyGraph:
-        """The graph as of now; later commits do not change these frames."""
-        state = self.state()
-        return PropertyGraph(
-            state.catalog,
-            self._scan(VERTEX, state).drop(SEGMENT, BUCKET),
-            self._scan(EDGE, state).drop(SEGMENT, BUCKET),
-        )
+        """The graph as of now, as lazy frames; after later changes ask anew."""
+        known = self._noted()
+        frames = [self._table(t, known.catalog).scan for t in (VERTEX, EDGE)]
+        # all visibilities that hold operators, if they are few enough to be sent around
+        expressions = None if known.expressions > EXPRESSION_BYTES else F.broadcast(self._expressions())
+        return PropertyGraph(known.catalog, *frames, expressions, stored=True)
 
-    # ---- writing -------------------------------------------------------------------------
+    def _expressions(self) -> DataFrame:
+        found = read_table(self.spark, f"{self.root}/visibilities", _VISIBILITIES)
+        return empty(self.spark, _VISIBILITIES) if found is None else found
 
     def write(
         self, batch: DataFrame, options: GraphOptions, mode: str = "append", where: Column | None = None,
@@ -299,247 +81,144 @@ class GraphStore:
         `append` keeps all other elements of the kind; `overwrite` replaces them all,
         `overwrite_where` those that meet `where`, `overwrite_dynamic` those of the types in
         the batch. Every type is that of the options, or of the type column if asked for.
-        `order_by` names the column whose highest value decides between rows of one id.
+        `order_by` names the column whose highest value decides between rows of one id. A batch may
+        be made from the graph itself.
         """
         require_choice(mode, MODES, "mode")
         if (where is not None) != (mode == "overwrite_where"):
             raise ValueError("'where' belongs to mode overwrite_where, and only to it")
-        state = self.state()
-        state = replace(state, catalog=register_properties(state.catalog, batch.schema))
-        batch = prepare(
-            batch, options.element_type, options.default_type, state.catalog, type_from_column, allow_lossy
-        )
-        with self._staging() as staging:
-            self._write(batch, state, options, mode, where, type_from_column, order_by, staging)
-
-    def _write(
-        self, batch: DataFrame, state: GraphState, options: GraphOptions, mode: str, where: Column | None,
-        type_from_column: bool, order_by: str | None, staging: str,
-    ) -> None:
-        element_type, kind = options.element_type, type_column(options.element_type)
-        has_ids = ID in batch.columns
-        if has_ids and order_by is not None:
-            batch = last_of_each_id(batch, order_by)
-
-        live = state.segments(element_type)
-        unchecked = has_ids and order_by is None
-        staged = bool(live) and (mode == "overwrite_dynamic" or (has_ids and mode != "overwrite"))
-        if staged:
-            # Used more than once from here on: write it down, so that it is computed once
-            # and the planner knows its size when it picks the join.
-            batch = self._stage(batch, f"{staging}/batch")
-            if unchecked:
-                reject_repeated_ids(batch)
-
-        if mode == "overwrite":
-            live = ()
-        elif mode == "overwrite_dynamic" and live:
+        element_type, known = options.element_type, self._noted()
+        catalog = register_properties(known.catalog, batch.schema)
+        batch = prepare(batch, element_type, options.default_type, catalog, type_from_column, allow_lossy)
+        buckets = known.buckets or int(self.spark.conf.get(f"{CONF_PREFIX}buckets", "") or BUCKETS)
+        events = [] if known.buckets else [(notes.BUCKETS, buckets)]
+        table, has_ids = self._table(element_type, catalog), ID in batch.columns
+        with self._staging() as stage:
+            if has_ids and order_by is not None:
+                batch = last_of_each_id(batch, order_by)
+            if table.written or not has_ids:  # used more than once from here on: computed once, and of known size
+                batch = stage(batch)
+            if not has_ids:
+                highest = known.next_id + batch.count() - 1
+                batch = assign_ids(batch, known.next_id)
+            else:
+                highest = check_ids(batch, order_by is None)
+            if highest >= known.next_id:
+                events.append((notes.IDS, highest + 1))
+            batch = with_buckets(batch, buckets)
             types = {options.default_type}
             if type_from_column:
-                types = {r[0] for r in batch.select(kind).distinct().collect()}  # one row per type
-            live = _retire(live, _whole_types(live, types))
-
-        if live and (has_ids or where is not None):
-            batch, live = self._merge(state.with_segments(element_type, live), element_type, batch, where, has_ids, staging)
-        segment, highest = self._write_segment(batch, element_type, state, unchecked and not staged)
-        catalog = register_types(
-            state.catalog, CONCEPT if element_type == VERTEX else RELATIONSHIP,
-            tuple(segment.types) if type_from_column else (options.default_type,),
-        )
-        state = replace(state, catalog=catalog, next_id=max(state.next_id, highest + 1))
-        self._commit(state.plus(element_type, live, segment))
-
-    def _merge(
-        self, state: GraphState, element_type: str, batch: DataFrame, where: Column | None,
-        match_ids: bool, staging: str,
-    ) -> tuple[DataFrame, tuple[Segment, ...]]:
-        """Rows to write and segments left, when `where` goes and `batch` comes."""
-        kind = type_column(element_type)
-        live = state.segments(element_type)
-        scan = self._scan(element_type, state)
-        touched: set[Folder] = set()
-        if where is not None:
-            touched |= _folders(scan.filter(where), kind)
-            scan = delete_where(scan, where)
+                types = {r[0] for r in batch.select(table.kind).distinct().collect()}  # one row per type
+            registered = register_types(catalog, CONCEPT if element_type == VERTEX else RELATIONSHIP, types)
+            if VISIBILITY in batch.columns:
+                events += self._add_expressions(batch, stage)
+            noted = self._note(known, events)  # numbers are taken before they are used, names are known once they are
+            if table.written:
+                batch = self._replace(table, batch, has_ids and mode != "overwrite", mode, where, types, stage)
+            table.put(batch)
+            self._note(noted, notes.added(known.catalog, registered))
+
+    def _add_expressions(self, batch: DataFrame, stage) -> list[tuple[str, object]]:
+        """Write down the visibilities with operators that the graph hasn't had yet."""
+        texts = batch.filter(is_expression(named(VISIBILITY))).select(VISIBILITY).distinct()
+        texts = stage(texts.join(self._expressions(), VISIBILITY, "left_anti"))
+        size = texts.agg(F.sum(F.octet_length(VISIBILITY) + 16)).first()[0]
+        if size:
+            texts.coalesce(1).write.mode("append").parquet(f"{self.root}/visibilities")
+        return [(notes.EXPRESSIONS, size)] if size else []
+
+    def _replace(self, table: ElementTable, batch: DataFrame, match_ids: bool, mode: str, where: Column | None, types: set[str], stage) -> DataFrame:
+        """Overwrite the partitions from which rows go or in which rows change; returns the batch's rows of others."""
+        scan, kind, touched = table.scan, table.kind, set()
+        if mode == "overwrite":
+            touched, scan = table.partitions(scan), scan.limit(0)
+        elif mode == "overwrite_dynamic":
+            touched, scan = table.partitions(scan.filter(named(kind).isin(*types))), scan.filter(~named(kind).isin(*types))
+        elif where is not None:
+            touched, scan = table.partitions(scan.filter(where)), delete_where(scan, where)
         fresh = batch
         if match_ids:
-            # One pass over the ids in the batch's buckets; from here on only the folders they hit are read.
-            most = max(s.buckets for s in live)
-            buckets = [r[0] for r in batch.select(_bucket(most)).distinct().collect()]
-            if buckets:
-                found = self._stage(
-                    scan.filter(_in_buckets(live, buckets, most)).select(ID, SEGMENT, kind, BUCKET)
-                    .join(batch.select(ID), ID, "left_semi"),
-                    f"{staging}/matched",
-                )
-                touched |= _folders(found, kind)
-                fresh = batch.join(found.select(ID), ID, "left_anti")
+            # one pass over the ids in the batch's buckets; their partitions, and those they move to, are hit
+            own = [r[0] for r in batch.select(BUCKET).distinct().collect()]
+            ids = batch.select(ID, named(kind).alias("to"))
+            found = stage(scan.filter(F.col(BUCKET).isin(*own)).select(ID, kind, BUCKET).join(ids, ID))
+            touched |= table.partitions(found) | table.partitions(found.select(named("to").alias(kind), BUCKET))
+            fresh = batch.join(found.select(ID), ID, "left_anti")
         if not touched:
-            return batch, live
-        rewritten = scan.filter(_in_folders(touched, kind)).drop(SEGMENT, BUCKET)
+            return batch
+        rewritten = scan.filter(table.among(touched))
         if match_ids:
             rewritten = update_matched(rewritten, batch)
-        return append_elements(rewritten, fresh), _retire(live, touched)
+        table.put(append_elements(rewritten, fresh.filter(table.among(touched))), touched)
+        return fresh.filter(~table.among(touched))
 
     def delete(self, element_type: str, where: Column | None = None, detach: bool = False) -> None:
         """Delete the elements that meet the predicate, or all of the kind.
 
-        Edges of deleted vertices stay unless `detach`.
+        Edges of deleted vertices stay unless `detach`; they go first, so that a run that died can be repeated.
         """
-        state = self.state()
-        if where is None:
-            changed = state.with_segments(element_type, ())
-            if detach and element_type == VERTEX:
-                changed = changed.with_segments(EDGE, ())
-        else:
-            with self._staging() as staging:
-                changed = self._without(state, element_type, where, detach and element_type == VERTEX, staging)
-        self._commit(changed)
-
-    def _without(self, state: GraphState, element_type: str, where: Column, detach: bool, staging: str) -> GraphState:
-        """Rewrite the folders that hold a doomed element, and with `detach` those of edges at doomed vertices."""
-        kind = type_column(element_type)
-        scan = self._scan(element_type, state)
-        doomed = scan.filter(where).select(ID, SEGMENT, kind, BUCKET)
-        if detach and state.edges:
-            doomed = self._stage(doomed, f"{staging}/doomed")
-        touched = _folders(doomed, kind)
-        if not touched:
-            return state
-        kept = delete_where(scan.filter(_in_folders(touched, kind)), where).drop(SEGMENT, BUCKET)
-        changed = self._replaced(state, element_type, touched, kept)
-        if detach and state.edges:
-            ends = self._scan(EDGE, state).select(
-                ID, SEGMENT, type_column(EDGE), BUCKET, F.explode(F.array(SOURCE_ID, DEST_ID)).alias(_SALT))
-            hit = self._stage(
-                ends.join(doomed.select(named(ID).alias(_SALT)), _SALT, "left_semi").drop(_SALT).distinct(), f"{staging}/edges")
-            touched = _folders(hit, type_column(EDGE))
-            if touched:
-                kept = self._scan(EDGE, state).filter(_in_folders(touched, type_column(EDGE))).drop(SEGMENT, BUCKET)
-                changed = self._replaced(changed, EDGE, touched, kept.join(hit.select(ID), ID, "left_anti"))
-        return changed
-
-    def _replaced(self, state: GraphState, element_type: str, folders: set[Folder], rows: DataFrame) -> GraphState:
-        """The state with the folders' rows in a new segment instead."""
-        segment, _ = self._write_segment(rows, element_type, state, False)
-        return state.plus(element_type, _retire(state.segments(element_type), folders), segment)
-
-    # ---- catalog changes -----------------------------------------------------------------
+        catalog = self.catalog()
+        table, edges = self._table(element_type, catalog), self._table(EDGE, catalog)
+        doomed = table.scan if where is None else table.scan.filter(where)
+        with self._staging() as stage:
+            if detach and element_type == VERTEX and edges.written:
+                gone = stage(doomed.select(named(ID).alias(_END)))
+                ends = edges.scan.select(ID, type_column(EDGE), BUCKET, F.explode(F.array(SOURCE_ID, DEST_ID)).alias(_END))
+                hit = stage(ends.join(gone, _END, "left_semi").drop(_END).distinct())
+                if touched := edges.partitions(hit):
+                    edges.put(edges.scan.filter(edges.among(touched)).join(hit.select(ID), ID, "left_anti"), touched)
+            if touched := table.partitions(doomed):
+                kept = table.scan.limit(0) if where is None else delete_where(table.scan.filter(table.among(touched)), where)
+                table.put(kept, touched)
+
+    def index_text(self, element_type: str, name: str) -> None:
+        """Make or refresh the index of a text property whose hint is ALL; only changed partitions are read."""
+        TextIndex(self._table(element_type, self.catalog()), name).refresh()
+
+    def containing(self, element_type: str, name: str, needle: str, **options) -> DataFrame:
+        """Elements whose text property contains the needle, by its index as far as it is up to date.
+
+        Otherwise as `read_elements` gives them, and with its options.
+        """
+        graph, index = self.graph(), TextIndex(self._table(element_type, self.catalog()), name)
+        frame = {"vertices" if element_type == VERTEX else "edges": index.containing(needle)}
+        return read_elements(replace(graph, **frame), element_type, **options)
 
     def drop_property(self, name: str) -> None:
-        """Remove a property from every element. Only the state changes, no data is rewritten."""
-        state = self.state()
-        self._commit(replace(state, catalog=drop_property(state.catalog, name)))
+        """Remove a property from every element. Only the catalog changes, no data is rewritten."""
+        known = self._noted()
+        drop_property(known.catalog, name)
+        self._note(known, [(notes.DROP_PROPERTY, name)])
 
     def drop_concept(self, name: str) -> None:
         """Remove a concept from the catalog; its vertices stay."""
-        state = self.state()
-        self._commit(replace(state, catalog=drop_type(state.catalog, CONCEPT, name)))
+        self._drop_type(CONCEPT, name)
 
     def drop_label(self, name: str) -> None:
         """Remove an edge label from the catalog; its edges stay."""
-        state = self.state()
-        self._commit(replace(state, catalog=drop_type(state.catalog, RELATIONSHIP, name)))
-
-    # ---- upkeep --------------------------------------------------------------------------
+        self._drop_type(RELATIONSHIP, name)
 
-    def compact(self, below: int | None = None) -> None:
-        """Merge the segments of fewer than `below` rows (by default all) into one per element kind.
+    def _drop_type(self, kind: str, name: str) -> None:
+        known = self._noted()
+        drop_type(known.catalog, kind, name)
+        self._note(known, [(notes.DROP_TYPE, (kind, name))])
 
-        The merged segment has buckets enough for the rows that its types have by now.
-        """
-        state = changed = self.state()
+    def compact(self, below: int = 64 << 20) -> None:
+        """Rewrite the partitions that have several files smaller than `below` bytes."""
         for element_type in (VERTEX, EDGE):
-            kind = type_column(element_type)
-            small = [
-                s for s in state.segments(element_type) if s.retired or below is None or sum(s.types.values()) < below]
-            if len(small) < 2 and not any(s.retired for s in small):
-                continue
-            rows = self._scan(element_type, state.with_segments(element_type, tuple(small))).drop(SEGMENT, BUCKET)
-            folders = {f for s in small for f in _whole_types((s,), set(s.rows))}
-            changed = self._replaced(changed, element_type, folders, rows.select(*rows.columns))
-        if changed is not state:
-            self._commit(changed)
-
-    def vacuum(self, keep: int = 1) -> None:
-        """Remove what the last `keep` versions don't use: states, segments, leftovers of failed writes.
-
-        Readers of earlier versions and running writers lose their files.
-        """
-        versions = self._versions()
-        kept = versions[-keep:]
-        states = [GraphState.from_json(self._files.read(self._document(v))) for v in kept]
-        for element_type in (VERTEX, EDGE):
-            used = {f"{SEGMENT}={s.name}" for state in states for s in state.segments(element_type)}
-            folder = f"{self.root}/{_folder(element_type)}"
-            for name in set(self._files.names(folder)) - used:
-                self._files.delete(f"{folder}/{name}")
-        documents = {f"{v:020}.json" for v in kept}
-        for name in set(self._files.names(f"{self.root}/_state")) - documents:
-            self._files.delete(f"{self.root}/_state/{name}")
-        self._files.delete(f"{self.root}/_staging")
-
-    # ---- files ---------------------------------------------------------------------------
+            self._table(element_type, self.catalog()).compact(below)
 
     @contextmanager
-    def _staging(self) -> Iterator[str]:
-        """A folder for the tables of one commit, removed when the commit is through."""
+    def _staging(self) -> Iterator:
+        """Gives a function that writes a frame down for the time of one change."""
         path = f"{self.root}/_staging/{uuid.uuid4().hex}"
-        try:
-            yield path
-        finally:
-            self._files.delete(path)
-
-    def _stage(self, frame: DataFrame, path: str) -> DataFrame:
-        frame.write.parquet(path)
-        return self.spark.read.schema(frame.schema).parquet(path)
-
-    def _first_buckets(self) -> int:
-        return int(self.spark.conf.get(f"{CONF_PREFIX}buckets", "") or BUCKETS)
 
-    def _write_segment(
-        self, frame: DataFrame, element_type: str, state: GraphState, check_ids: bool
-    ) -> tuple[Segment, int]:
-        """Write one segment; with the highest number among its ids (-1 if none).
+        def stage(frame: DataFrame) -> DataFrame:
+            own = f"{path}/{uuid.uuid4().hex}"
+            frame.write.parquet(own)
+            return self.spark.read.schema(frame.schema).parquet(own)
 
-        The rows are shuffled once, so that a task holds few folders; large folders are split by
-        size. New ids are given after that shuffle, by the task that writes them: a task that runs
-        again gives ids from its own range, whatever rows the others hold.
-        """
-        kind = type_column(element_type)
-        buckets = state.buckets(element_type, self._first_buckets())
-        if VISIBILITY not in frame.columns:
-            frame = frame.withColumn(VISIBILITY, F.lit(""))
-        if HIDDEN not in frame.columns:
-            frame = frame.withColumn(HIDDEN, F.lit(False))
-        frame = frame.withColumns({
-            VISIBILITY: F.coalesce(named(VISIBILITY), F.lit("")),
-            HIDDEN: is_true(named(HIDDEN)),
-        })
-        if ID in frame.columns:
-            frame = frame.withColumn(BUCKET, _bucket(buckets)).hint("rebalance", named(kind), F.col(BUCKET))
-        else:
-            # their buckets aren't known yet: spread each type by what its rows hold
-            width = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            salt = F.pmod(F.xxhash64(*[named(c).cast("string") for c in frame.columns]), F.lit(width))
-            frame = frame.withColumn(_SALT, salt).hint("rebalance", named(kind), F.col(_SALT)).drop(_SALT)
-            frame = assign_ids(frame, state.next_id).withColumn(BUCKET, _bucket(buckets))
-        name = uuid.uuid4().hex
-        path = f"{self.root}/{_folder(element_type)}/{SEGMENT}={name}"
-        columns = {p.name: p.column for p in state.catalog.properties}
-        frame = frame.select(*[named(c).alias(columns.get(c, c)) for c in frame.columns])
-        (
-            frame.sortWithinPartitions(kind, BUCKET, ID).write.partitionBy(kind, BUCKET)
-            .option(f"parquet.bloom.filter.enabled#{ID}", "true")
-            .option("parquet.bloom.filter.adaptive.enabled", "true")
-            .parquet(path)
-        )
-        written = self.spark.read.schema(f"{ID} string, {kind} string, {BUCKET} int").parquet(path)
-        if check_ids:
-            reject_repeated_ids(written)
-        number = F.when(F.length(ID) <= _DIGITS, F.expr(f"try_cast({ID} AS decimal(38, 0))"))
-        stats = written.groupBy(kind, BUCKET).agg(F.max(number).alias("highest"), F.count("*").alias("n")).collect()
-        rows: dict[str, dict[int, int]] = {}
-        for r in sorted(stats, key=lambda r: r[:2]):
-            rows.setdefault(r[0], {})[r[1]] = r.n
-        return Segment(name, buckets, rows), max((int(r.highest) for r in stats if r.highest is not None), default=-1)
+        try:
+            yield stage
+        finally:
+            remove(self.spark, path)

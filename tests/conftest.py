@@ -16,6 +16,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="propgraph-shared-", dir="/tmp"))
         .getOrCreate()
     )
