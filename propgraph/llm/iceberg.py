@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +20,10 @@ TERMS = 10
 FIRST_LEVEL = 4
 #: Level from which the terms still open are written anew, as they are few.
 DEEP = 16
-#: Terms counted at once in a task, and bytes of text read at once.
-TALLY, CHUNK = 1 << 20, 4 << 20
+#: Terms counted at once in a task, bytes of text read at once, and rows handed on at once.
+TALLY, CHUNK, BATCH = 1 << 19, 2 << 20, 1 << 16
+#: Different values up to which counts are an array with a place for each.
+PLACES = 1 << 23
 #: Sources and terms of a tile of the comparison: a task holds two tiles.
 TILE_SOURCES, TILE_TERMS = 48, 4096
 
@@ -32,30 +33,90 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else
 _END = b"\0"
 
 
+def _summed(values: np.ndarray, n: np.ndarray | None, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different values, all below `most`, and the sum of n (None: 1 each) of each."""
+    if most <= PLACES and (n is None or n.sum() < 2**53):
+        sums = np.bincount(values, n).astype(np.int64)
+        met = np.flatnonzero(sums)
+        return met, sums[met]
+    met, which = np.unique(values, return_inverse=True)
+    sums = np.zeros(len(met), np.int64)
+    np.add.at(sums, which, 1 if n is None else n)
+    return met, sums
+
+
+def _blobs(flat: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """The terms of each row as one value, one after the other: flat has ended terms, bounds where each row's begin."""
+    ends = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1]
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(ends[bounds].tobytes()), flat.buffers()[2] or pa.py_buffer(b"")])
+
+
+def _ended_terms(blobs: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All terms of a column of blobs, with their end marks, and where each row's begin."""
+    ends = np.frombuffer(blobs.buffers()[1], np.int32)[blobs.offset : blobs.offset + len(blobs) + 1]
+    data = np.frombuffer(blobs.buffers()[2] or b"", np.uint8)[: ends[-1]]
+    marks = np.flatnonzero(data[ends[0] :] == 0) + 1 + ends[0]
+    bounds = np.searchsorted(marks, ends, "right")
+    places = np.concatenate([ends[:1], marks]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(marks), [None, pa.py_buffer(places.tobytes()), pa.py_buffer(data)]), bounds
+
+
+def _bag(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Of texts: their distinct terms with end marks, text after text, each in order of bytes; counts; where each text's begin."""
+    tokens, lengths = [], []
+    for text in texts:
+        own = text.translate(_FOLD).split()
+        tokens += own
+        lengths.append(len(own))
+    coded = pa.array(tokens, pa.binary()).dictionary_encode()
+    order = pc.array_sort_indices(coded.dictionary).to_numpy()
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    pair = np.repeat(np.arange(len(texts)), lengths) * max(1, len(order)) + place[coded.indices.to_numpy()]
+    met, counts = np.unique(pair, return_counts=True)
+    bounds = np.searchsorted(met, np.arange(len(texts) + 1) * max(1, len(order)))
+    ended = pc.binary_join_element_wise(coded.dictionary.take(pa.array(order)), pa.scalar(_END, pa.binary()), pa.scalar(b"", pa.binary()))
+    return ended.take(pa.array(met % max(1, len(order)))), counts, bounds
+
+
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, at = batch.column("text"), 0
         while at < len(batch):
-            terms, counts, ends, size = [], [], [0], 0
-            while at + len(ends) - 1 < len(batch) and size < CHUNK:
-                text = texts[at + len(ends) - 1]
-                raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-                own = sorted(Counter(raw.translate(_FOLD).split()).items())
-                terms += [t for t, _ in own]
-                counts += [n for _, n in own]
-                ends.append(len(terms))
-                size += len(raw)
-            rows, bounds = batch.slice(at, len(ends) - 1), pa.array(ends, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("lang"), rows.column("source"), pa.ListArray.from_arrays(bounds, pa.array(terms, pa.binary())), pa.ListArray.from_arrays(bounds, pa.array(counts, pa.int64()))],
-                names=["lang", "source", "terms", "counts"])
-            at += len(ends) - 1
+            raw, size = [], 0
+            while at + len(raw) < len(batch) and size < CHUNK:
+                text = texts[at + len(raw)]
+                raw.append(text.as_buffer().to_pybytes() if text.is_valid else b"")
+                size += len(raw[-1])
+            terms, counts, bounds = _bag(raw)
+            rows = batch.slice(at, len(raw))
+            packed = pa.Array.from_buffers(pa.binary(), len(raw), [None, pa.py_buffer((8 * bounds).astype(np.int32).tobytes()), pa.py_buffer(counts.astype("<i8").tobytes())])
+            yield pa.RecordBatch.from_arrays([rows.column("lang"), rows.column("source"), _blobs(terms, bounds), packed], names=["lang", "source", "terms", "counts"])
+            at += len(raw)
 
 
 def term_bags(docs: DataFrame) -> DataFrame:
-    """A row for each document: lang, source, its distinct terms in order of their bytes, and their counts."""
+    """A row for each document: lang, source, its distinct terms and their counts.
+
+    Terms stand in one value in the order of their bytes, each closed by a zero byte; counts in one of 64-bit numbers.
+    """
     own = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    return own.mapInArrow(_bags, "lang string, source string, terms array<binary>, counts array<long>")
+    return own.mapInArrow(_bags, "lang string, source string, terms binary, counts binary")
+
+
+def _longer(level: int):
+    """Bags with only the terms of `level` bytes or more, and only those that have any."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms, bounds = _ended_terms(batch.column("terms"))
+            some = pc.greater(pc.binary_length(terms), level).to_numpy(zero_copy_only=False)
+            kept = np.append(0, np.cumsum(some))[bounds]
+            rows = np.flatnonzero(np.diff(kept))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("lang").take(pa.array(rows)), _blobs(terms.filter(pa.array(some)), np.append(kept[rows], kept[-1]))], names=["lang", "terms"])
+
+    return task
 
 
 def _codes(columns: list[pa.Array]) -> tuple[np.ndarray, pa.RecordBatch]:
@@ -71,54 +132,82 @@ def _codes(columns: list[pa.Array]) -> tuple[np.ndarray, pa.RecordBatch]:
     return numbers, pa.RecordBatch.from_arrays(values, names=[str(i) for i in range(len(values))])
 
 
-def _tally(keys: list[str], cut):
-    """Sums over the bags of a slice before anything is shuffled: rows of keys, term and n, one for each value met."""
+def _slices(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Rows that hold about TALLY terms."""
+    at = 0
+    while at < len(bounds) - 1:
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + TALLY, "right")) - 1)
+        yield at, to
+        at = to
 
+
+def _prefix_counts(done: int, level: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(lang, term, n): in how many of a slice's documents the first `level` bytes of an ended term of more than `done` stand."""
         for batch in batches:
-            if not len(batch):
-                continue
-            bounds, at = batch.column("terms").offsets.to_numpy(), 0
-            own, names = _codes([batch.column(c) for c in keys])
-            while at < len(batch):
-                to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + TALLY, "right")) - 1)
-                low, high = int(bounds[at]), int(bounds[to])
-                rows = np.repeat(np.arange(at, to), np.diff(bounds[at : to + 1]))
-                terms, rows, n = cut(batch, low, high, rows)
-                at = to
-                if not len(terms):
+            own, names = _codes([batch.column("lang")])
+            terms, bounds = _ended_terms(batch.column("terms"))
+            for at, to in _slices(bounds):
+                part, rows = terms.slice(bounds[at], bounds[to] - bounds[at]), np.repeat(np.arange(at, to), np.diff(bounds[at : to + 1]))
+                if done:
+                    still = pc.greater(pc.binary_length(part), done)
+                    part, rows = part.filter(still), rows[still.to_numpy(zero_copy_only=False)]
+                if not len(part):
                     continue
-                coded = terms.dictionary_encode()
-                code = coded.indices.to_numpy().astype(np.int64)
-                if n is None:  # each document once: equal prefixes of its terms stand side by side
-                    first = np.append(True, (np.diff(rows) != 0) | (np.diff(code) != 0))
-                    rows, code, n = rows[first], code[first], np.ones(int(first.sum()), np.int64)
-                pair = own[rows] * len(coded.dictionary) + code
-                met, which = np.unique(pair, return_inverse=True)
-                sums = np.zeros(len(met), np.int64)
-                np.add.at(sums, which, n)
-                name = pa.array(met // len(coded.dictionary))
-                yield pa.RecordBatch.from_arrays(
-                    [*(c.take(name) for c in names.columns), coded.dictionary.take(pa.array(met % len(coded.dictionary))), pa.array(sums)],
-                    names=[*keys, "term", "n"])
+                coded = pc.binary_slice(part, 0, level).dictionary_encode()
+                code, values = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+                # each document once: equal prefixes of its terms stand side by side
+                first = np.append(True, (np.diff(rows) != 0) | (np.diff(code) != 0))
+                met, sums = _summed(own[rows[first]] * len(values) + code[first], None, len(names) * len(values))
+                for a in range(0, len(met), BATCH):
+                    name, term = pa.array(met[a : a + BATCH] // len(values)), pa.array(met[a : a + BATCH] % len(values))
+                    yield pa.RecordBatch.from_arrays([names.column(0).take(name), values.take(term), pa.array(sums[a : a + BATCH])], names=["lang", "term", "n"])
 
     return task
 
 
-def _prefixes(done: int, level: int):
-    """The first `level` bytes of the ended terms that have more than `done`."""
-
-    def cut(batch, low, high, rows):
-        terms = batch.column("terms").values.slice(low, high - low)
-        open_terms = pc.greater_equal(pc.binary_length(terms), done)
-        ended = pc.binary_join_element_wise(terms.filter(open_terms), pa.scalar(_END, pa.binary()), pa.scalar(b"", pa.binary()))
-        return pc.binary_slice(ended, 0, level), rows[open_terms.to_numpy(zero_copy_only=False)], None
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, term, n): occurrences in a slice's documents."""
+    for batch in batches:
+        own, names = _codes([batch.column("lang"), batch.column("source")])
+        terms, bounds = _ended_terms(batch.column("terms"))
+        for at, to in _slices(bounds):
+            coded = pc.binary_slice(terms.slice(bounds[at], bounds[to] - bounds[at]), 0, -1).dictionary_encode()
+            n = np.frombuffer(b"".join(batch.column("counts").slice(at, to - at).to_pylist()), "<i8")
+            pair = np.repeat(own[at:to], np.diff(bounds[at : to + 1])) * len(coded.dictionary) + coded.indices.to_numpy()
+            met, sums = _summed(pair, n, len(names) * max(1, len(coded.dictionary)))
+            for a in range(0, len(met), BATCH):
+                name, term = pa.array(met[a : a + BATCH] // len(coded.dictionary)), pa.array(met[a : a + BATCH] % len(coded.dictionary))
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.take(name) for c in names.columns), coded.dictionary.take(term), pa.array(sums[a : a + BATCH])], names=["lang", "source", "term", "n"])
 
-    return cut
 
+def _numbered_occurrences(shared):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(cell, n): occurrences of kept terms in a slice's documents; a cell is group times number of kept terms, plus term."""
+        kept, many, groups = shared.value
+        for batch in batches:
+            own, names = _codes([batch.column("lang"), batch.column("source")])
+            langs = names.column(0).to_pylist()
+            group = np.array([groups[g] for g in zip(langs, names.column(1).to_pylist(), strict=True)], np.int64)
+            terms, bounds = _ended_terms(batch.column("terms"))
+            for at, to in _slices(bounds):
+                part, of_row = terms.slice(bounds[at], bounds[to] - bounds[at]), np.repeat(own[at:to], np.diff(bounds[at : to + 1]))
+                n = np.frombuffer(b"".join(batch.column("counts").slice(at, to - at).to_pylist()), "<i8")
+                code = np.full(len(part), -1, np.int64)
+                for lang in set(langs) & set(kept):
+                    mine, first = kept[lang]
+                    where = np.flatnonzero(np.array([x == lang for x in langs])[of_row])
+                    code[where] = pc.index_in(part.take(pa.array(where)), mine).fill_null(-1 - first).to_numpy() + first
+                some = np.flatnonzero(code >= 0)
+                if not len(some):
+                    continue
+                met, sums = _summed(of_row[some] * many + code[some], n[some], len(names) * many)
+                cells = group[met // many] * many + met % many
+                for a in range(0, len(met), BATCH):
+                    yield pa.RecordBatch.from_arrays([pa.array(cells[a : a + BATCH]), pa.array(sums[a : a + BATCH])], names=["cell", "n"])
 
-def _occurrences(batch, low, high, rows):
-    return batch.column("terms").values.slice(low, high - low), rows, batch.column("counts").values.to_numpy()[low:high]
+    return task
 
 
 def frequent_terms(bags: DataFrame, scratch: Scratch, least: int = LEAST_DOCS, first_level: int = FIRST_LEVEL, deep: int = DEEP) -> DataFrame:
@@ -131,7 +220,7 @@ def frequent_terms(bags: DataFrame, scratch: Scratch, least: int = LEAST_DOCS, f
     """
     done, level, kept, open_bags, survivors = 0, first_level, [], bags, None
     while True:
-        counted = open_bags.select("lang", "terms").mapInArrow(_tally(["lang"], _prefixes(done, level)), "lang string, term binary, n long")
+        counted = open_bags.select("lang", "terms").mapInArrow(_prefix_counts(done, level), "lang string, term binary, n long")
         if survivors is not None:
             parents = survivors.filter(~_ended("term")).select("lang", F.col("term").alias("parent"))
             counted = counted.withColumn("parent", F.expr(f"substring(term, 1, {done})")).join(light(parents), ["lang", "parent"], "left_semi")
@@ -141,8 +230,7 @@ def frequent_terms(bags: DataFrame, scratch: Scratch, least: int = LEAST_DOCS, f
         if survivors.filter(~_ended("term")).isEmpty():
             break
         if level >= deep:
-            rest = open_bags.select("lang", F.filter("terms", lambda t: F.octet_length(t) >= level).alias("terms")).filter("size(terms) > 0")
-            open_bags = scratch.keep(rest, f"open-{level}")
+            open_bags = scratch.keep(open_bags.select("lang", "terms").mapInArrow(_longer(level), "lang string, terms binary"), f"open-{level}")
         done, level = level, 2 * level
     out = kept[0]
     for more in kept[1:]:
@@ -155,10 +243,20 @@ def _ended(column: str) -> Column:
 
 
 def _p(count: Column | str, total: str, v: str) -> Column:
-    """1 + floor(10^9 (count + 2) / (total + 2 v)), beyond 64 bits in between; 1 if nothing is kept."""
-    above = (F.col(count) if isinstance(count, str) else count).cast("decimal(20,0)") + 2
-    return F.when(F.col(v) == 0, F.lit(1)).otherwise(
-        F.expr("1L") + F.call_function("div", above * F.lit(1_000_000_000).cast("decimal(10,0)"), (F.col(total) + 2 * F.col(v)).cast("decimal(20,0)")))
+    """1 + floor(10^9 (count + 2) / (total + 2 v)), also beyond 64 bits in between; 1 if nothing is kept."""
+    count, whole = F.col(count) if isinstance(count, str) else count, F.col(total) + 2 * F.col(v)
+    wide = F.call_function("div", (count.cast("decimal(20,0)") + 2) * F.lit(1_000_000_000).cast("decimal(10,0)"), whole.cast("decimal(20,0)"))
+    share = F.when(count < 9_000_000_000, F.call_function("div", (count + 2) * F.lit(1_000_000_000).cast("long"), whole)).otherwise(wide)
+    return F.when(F.col(v) == 0, F.lit(1).cast("long")).otherwise(share + 1)
+
+
+def _by_language(kept: pa.Table) -> dict[str, tuple[pa.Array, int]]:
+    """Of kept terms in order of their numbers: each language's, with end marks, and the first one's number."""
+    lang, term = (kept[c].combine_chunks() for c in ("lang", "term"))
+    names, firsts = np.unique(lang.to_numpy(zero_copy_only=False).astype(object), return_index=True)
+    ends = [*firsts[1:], len(kept)][: len(firsts)]  # languages are in order
+    term = pc.binary_join_element_wise(term, pa.scalar(_END, pa.binary()), pa.scalar(b"", pa.binary()))
+    return {name: (term.slice(int(a), int(b - a)), int(a)) for name, a, b in zip(names, firsts, ends, strict=True)}
 
 
 def _apart(p, q):
@@ -173,14 +271,16 @@ def _compared(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     """
     lang, block, i, j = (k.as_py() for k in key)
     tile, share = rows["tile"].to_numpy(), rows["p"].to_numpy()
-    names, terms = (rows[c].combine_chunks().dictionary_encode() for c in ("source", "term"))
-    source, term = names.indices.to_numpy(), terms.indices.fill_null(-1).to_numpy()  # a source's own row has no term
+    names = rows["source"].combine_chunks().dictionary_encode()
+    source, number = names.indices.to_numpy(), rows["tid"].to_numpy()  # a source's own row has no term: -1
+    terms = np.unique(number[number >= 0])
+    term = np.where(number >= 0, np.searchsorted(terms, number), -1)
     sides = []
     for own in (i, j):
         head = np.flatnonzero((tile == own) & (term < 0))
         row = np.zeros(len(names.dictionary), np.int64)
         row[source[head]] = np.arange(len(head))
-        matrix = np.repeat(share[head][:, None], len(terms.dictionary), 1)
+        matrix = np.repeat(share[head][:, None], len(terms), 1)
         cell = np.flatnonzero((tile == own) & (term >= 0))
         matrix[row[source[cell]], term[cell]] = share[cell]
         sides.append((source[head], share[head], matrix))
@@ -189,7 +289,7 @@ def _compared(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     out = [np.empty((3, 0), np.int64)]
     for a in range(len(left)):
         after = a + 1 if i == j else 0
-        sums = _apart(p[a], q[after:]).sum(1) + _apart(p0[a], q0[after:]) * (least - len(terms.dictionary))
+        sums = _apart(p[a], q[after:]).sum(1) + _apart(p0[a], q0[after:]) * (least - len(terms))
         out.append(np.array([np.full(len(sums), left[a]), right[after:], sums]))
     left, right, value = np.concatenate(out, 1)
     return pa.table({"lang": pa.array([lang] * len(value), pa.string()), "source": names.dictionary.take(pa.array(left)), "item": names.dictionary.take(pa.array(right)), "value": value})
@@ -209,42 +309,51 @@ def divergence(docs: DataFrame, least: int = LEAST_DOCS, terms: int = TERMS, til
     sum in the tasks before anything is shuffled. Pairs are compared in tiles of sources and terms, so no
     task grows with either; there are as many pairs as the report lists.
     """
-    scratch = Scratch(docs.sparkSession, "divergence")
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "divergence")
     bags = scratch.keep(term_bags(docs), "bags")
-    kept = scratch.keep(frequent_terms(bags, scratch, least, first_level, deep), "kept")
-    counted = bags.mapInArrow(_tally(["lang", "source"], _occurrences), "lang string, source string, term binary, n long")
-    few, total = light(kept), F.sum("n").alias("n")
-    if few is kept:  # too many to send: sum first, so that the join's shuffle has a row for each value
+    found = frequent_terms(bags, scratch, least, first_level, deep)
+    # numbers in the order of languages and of terms' bytes
+    kept = scratch.keep(scratch.numbered(found, [F.col("lang"), F.col("term")], "tid", "found"), "kept")
+    groups = scratch.numbered(bags.groupBy("lang", "source").count().select("lang", "source"), [F.col("lang"), F.col("source")], "gid", "all-groups")
+    groups, total = scratch.keep(groups, "numbered-groups"), F.sum("n").alias("n")
+    if light(kept) is kept or light(groups) is groups:  # too many to send: sum first, so that the join's shuffle has a row for each value
+        counted = bags.mapInArrow(_occurrences, "lang string, source string, term binary, n long")
         counted = counted.groupBy("lang", "source", "term").agg(total).join(kept, ["lang", "term"])
     else:
-        counted = counted.join(few, ["lang", "term"]).groupBy("lang", "source", "term").agg(total)
-    cells = scratch.keep(counted.select("lang", "source", "term", "n"), "cells")
-    groups = bags.groupBy("lang", "source").count().select("lang", "source")
+        many = kept.count()
+        numbers = {(r.lang, r.source): r.gid for r in groups.collect()}
+        shared = spark.sparkContext.broadcast((_by_language(kept.orderBy("tid").toArrow()), many, numbers))
+        counted = bags.mapInArrow(_numbered_occurrences(shared), "cell long, n long").groupBy("cell").agg(total)
+        group, term = (F.call_function(f, F.col("cell"), F.lit(max(many, 1)).cast("long")) for f in ("div", "mod"))
+        counted = counted.withColumns({"gid": group, "tid": term}).join(light(groups), "gid")
+    cells = scratch.keep(counted.select("lang", "source", "tid", "n"), "cells")
+    groups = groups.drop("gid")
     groups = groups.join(cells.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
     groups = groups.join(kept.groupBy("lang").agg(F.count("*").alias("v")), "lang", "left").fillna(0, ["total", "v"])
     groups = scratch.keep(groups, "groups")
     langs = groups.groupBy("lang").agg(F.sum("total").alias("lang_total"), F.count("*").alias("sources"))
     groups = scratch.keep(groups.join(langs, "lang"), "sized-groups")
+    sums = scratch.keep(cells.groupBy("tid").agg(F.sum("n").alias("all")), "sums")
     cells = cells.join(light(groups), ["lang", "source"])
 
-    by_term = F.sum("n").over(Window.partitionBy("lang", "term"))
-    of_terms = cells.select("lang", "source", "term", _p("n", "total", "v").alias("p"), by_term.alias("all"), "lang_total", "v")
-    of_terms = of_terms.withColumn("q", _p("all", "lang_total", "v")).filter("p > q")
-    listed = of_terms.select("lang", "source", F.col("term").cast("string").alias("item"), F.expr("(p - q) * (p - q) div (p + q)").alias("value"))
-    rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
-    listed = listed.withColumn("rank", rank).filter(F.col("rank") <= terms)
+    of_terms = cells.join(light(sums), "tid").select("lang", "source", "tid", _p("n", "total", "v").alias("p"), _p("all", "lang_total", "v").alias("q")).filter("p > q")
+    listed = of_terms.select("lang", "source", "tid", F.expr("(p - q) * (p - q) div (p + q)").alias("value"))
+    first = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "tid"))
+    listed = listed.withColumn("rank", first).filter(F.col("rank") <= terms)
+    listed = listed.join(kept.select("tid", F.col("term").cast("string").alias("item")), "tid")
 
     tiles = F.ceil(F.col("sources") / tile_sources)
     tile = F.pmod(F.xxhash64("source"), tiles)
     blocks = F.greatest(F.lit(1), F.ceil(F.col("v") / tile_terms))
-    heads = groups.select("lang", "source", F.lit(None).cast("binary").alias("term"), _p(F.lit(0), "total", "v").alias("p"), "v", tile.alias("tile"), tiles.alias("tiles"),
+    heads = groups.select("lang", "source", F.lit(-1).cast("long").alias("tid"), _p(F.lit(0).cast("long"), "total", "v").alias("p"), "v", tile.alias("tile"), tiles.alias("tiles"),
                           F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"))
-    full = cells.select("lang", "source", "term", _p("n", "total", "v").alias("p"), "v", tile.alias("tile"), tiles.alias("tiles"), F.pmod(F.xxhash64("term"), blocks).alias("block"))
+    full = cells.select("lang", "source", "tid", _p("n", "total", "v").alias("p"), "v", tile.alias("tile"), tiles.alias("tiles"), F.pmod("tid", blocks).alias("block"))
     dealt = heads.union(full).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    dealt = dealt.withColumns({"i": F.least("tile", "other"), "j": F.greatest("tile", "other")}).select("lang", "block", "i", "j", "tile", "source", "term", "p", "v")
+    dealt = dealt.withColumns({"i": F.least("tile", "other"), "j": F.greatest("tile", "other")}).select("lang", "block", "i", "j", "tile", "source", "tid", "p", "v")
     sums = dealt.groupBy("lang", "block", "i", "j").applyInArrow(_compared, "lang string, source string, item string, value long")
     sums = sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     both = sums.select("lang", "value", F.explode(F.array(F.struct("source", "item"), F.struct(F.col("item").alias("source"), F.col("source").alias("item")))).alias("x"))
+    rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
     pairs = both.select("lang", "x.source", "x.item", "value").withColumn("rank", rank)
     columns = ["lang", "source", "part", "item", "value", "rank"]
     return pairs.withColumn("part", F.lit("pair")).select(columns).union(listed.withColumn("part", F.lit("term")).select(columns))
