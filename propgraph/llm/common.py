@@ -10,9 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: Rows up to which a narrow side may be broadcast; beyond, Spark shuffles both sides.
-BROADCAST_ROWS = 1_000_000
-#: Bytes up to which a side may be broadcast, and what a row takes besides its values.
+#: Bytes up to which a side may be broadcast (beyond, Spark shuffles both sides), and what a row takes besides its values.
 BROADCAST_BYTES, ROW_BYTES = 64 << 20, 48
 #: Characters that end a word.
 SPACE = r"\x20\x09-\x0D"
@@ -31,6 +29,19 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def free_prefix(*frames: DataFrame) -> str:
+    """What no column of the frames begins with, for columns of one's own."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for frame in frames for c in frame.columns):
+        prefix += "_"
+    return prefix
+
+
+def hashable(frame: DataFrame) -> list[Column]:
+    """The columns of which a hash can be taken: maps are left out."""
+    return [F.col(f"`{c.name}`") for c in frame.schema.fields if "map<" not in c.dataType.simpleString()]
+
+
 def text_key(column: Column) -> Column:
     """Sixteen bytes that stand for a text; null is taken as the empty text."""
     return F.unhex(F.md5(F.coalesce(column, F.lit("")).cast("binary")))
@@ -71,6 +82,22 @@ class Scratch:
         frame.write.parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def numbered(self, frame: DataFrame, order: list[Column], column: str, name: str) -> DataFrame:
+        """The frame, sorted and kept, with each row's place from 0.
+
+        Files are in the order of the sort, so a row's place is the rows of the files before its own, of
+        which there are as many as tasks, and its place in its file. No task sees all rows.
+        """
+        rows = self.keep(frame.orderBy(*order), name)
+        file = rows.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+        counts = file.groupBy("__file").agg(F.count("*").alias("n")).orderBy("__file").collect()
+        before, firsts = 0, []
+        for r in counts:
+            firsts.append((r["__file"], before))
+            before += r.n
+        starts = self.spark.createDataFrame(firsts, "__file string, __first long")
+        return file.join(F.broadcast(starts), "__file").select(*rows.columns, (F.col("__first") + F.col("__row")).alias(column))
+
     def drop(self, *names: str) -> None:
         for name in names:
             _remove(self.spark, f"{self.root}/{name}")
@@ -82,11 +109,6 @@ class Scratch:
             pass
 
 
-def small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame, to be broadcast if it has few rows. It should be a scratch table: it is counted."""
-    return F.broadcast(frame) if frame.count() <= rows else frame
-
-
 def light(frame: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     """The frame, to be broadcast if its values, measured as text, take at most so many bytes.
 
