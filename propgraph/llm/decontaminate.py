@@ -8,19 +8,22 @@ Built-in Spark functions only.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import Scratch, small, table, text_key
+from propgraph.llm.common import Scratch, light, table, text_key
 
 #: Tokens of a window, and the share of an item's tokens that matching windows must cover.
 WINDOW, COVER = 8, 0.5
 #: Tokens put in or left out between two matching runs up to which they are one place.
 DRIFT = 4
-#: Distinct words of a benchmark up to which its windows are sought only where its words stand.
+#: Distinct words of a benchmark up to which documents' words are looked up in a constant, beyond by a join.
 KNOWN = 50_000
+#: Bits that say which words a benchmark can have.
+BITS = 1 << 20
 #: Words that are units when they follow a number.
 UNITS = (
     "mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg t lb lbs oz pound pounds ton tons "
@@ -30,19 +33,11 @@ UNITS = (
 ).split()
 
 
-def _listed(value: str, hashes: list[int]) -> str:
-    listed = ", ".join(f"{k}L" if k > -(1 << 63) else "-9223372036854775807L - 1" for k in hashes)
-    return f"{value} in ({listed})" if hashes else "false"
+def marked(frame: DataFrame, text: str) -> DataFrame:
+    """frame with __t instead of a text: lower case, with marks on numbers (#n), names (#p) and what may be a name (#s).
 
-
-def annotated(frame: DataFrame, text: str, tokens: str, words: str, named: Callable[[str], str] | None = None) -> DataFrame:
-    """frame with arrays of the tokens of a text and of its template; `text` goes.
-
-    Tokens are words in lower case, or #n, #p and #u with the value that they stand for; the template
-    has #n, #p and #u alone. A name is a capitalised word after a lower-case word, comma or semicolon, and
-    names with but a space between them are one. Other capitalised words, such as the first of a sentence,
-    are names where `named` says so: it makes SQL of the SQL for a word's hash. Signs between words go. Null is
-    the empty text.
+    A name is a capitalised word after a lower-case word, comma or semicolon, and names with but a space
+    between them are one. Other capitalised words, such as the first of a sentence, may be names. Null is the empty text.
 
     Each step is a projection of its own, so that none is computed twice.
     """
@@ -52,11 +47,23 @@ def annotated(frame: DataFrame, text: str, tokens: str, words: str, named: Calla
     frame = frame.withColumn("__t", F.regexp_replace(t, r"(?<![\p{L}\p{Nd}])(\p{Lu}\p{L}*\p{Ll})", "#s$1"))
     frame = frame.withColumn("__t", F.regexp_replace(t, r"(#[ps]\p{L}+) (?=#p)", "$1"))
     frame = frame.withColumn("__t", F.regexp_replace(t, r"(\p{Nd})(?<![\p{L}\p{Nd}#].)([\p{Nd}.,]*)", " #n$1$2 "))
-    frame = frame.withColumn("__t", F.trim(F.regexp_replace(F.lower(t), r"(?:[^\p{L}\p{Nd}#.,]+|[.,](?!\p{Nd}))+", " ")))
-    if named:
-        name = named("xxhash64(substring_index(substr(w, 3), '#', 1))")
-        frame = frame.withColumn("__t", F.expr(
-            f"array_join(transform(split(__t, ' '), w -> if(startswith(w, '#s') and ({name}), concat('#p', substr(w, 3)), w)), ' ')"))
+    return frame.withColumn("__t", F.trim(F.regexp_replace(F.lower(t), r"(?:[^\p{L}\p{Nd}#.,]+|[.,](?!\p{Nd}))+", " ")))
+
+
+#: The word of a token w that may be a name, as a hash.
+_MAYBE = "xxhash64(substring_index(substr(w, 3), '#', 1))"
+
+
+def templates(frame: DataFrame, tokens: str, words: str, named: Column | None = None) -> DataFrame:
+    """Marked texts as arrays of tokens and of template words; __t goes.
+
+    Tokens are words in lower case, or #n, #p and #u with the value that they stand for; the template
+    has #n, #p and #u alone. `named` is __t with #p for #s where a word is a name; other marks #s go. Signs between
+    words go.
+    """
+    t = F.col("__t")
+    if named is not None:
+        frame = frame.withColumn("__t", named)
     frame = frame.withColumn("__t", F.replace(F.regexp_replace(t, r"(#s\p{L}+)(?=#p)", "$1 "), F.lit("#s"), F.lit("")))
     unit = rf"(#n\S+) (?:#p)?({'|'.join(UNITS)})(?= |$)"
     frame = frame.withColumn("__t", F.when(F.contains(t, F.lit("#n")), F.regexp_replace(t, unit, "$1 #u$2")).otherwise(t))
@@ -64,23 +71,68 @@ def annotated(frame: DataFrame, text: str, tokens: str, words: str, named: Calla
     return frame.withColumns({tokens: F.split(t, " "), words: F.split(bare, " ")}).drop("__t")
 
 
+def _naming(is_name) -> Column:
+    """__t with #p for #s at the words whose hash is_name takes."""
+    def token(w: Column) -> Column:
+        word = F.xxhash64(F.substring_index(F.substr(w, F.lit(3)), "#", 1))
+        return F.when(F.startswith(w, F.lit("#s")) & is_name(word), F.concat(F.lit("#p"), F.substr(w, F.lit(3)))).otherwise(w)
+
+    return F.when(F.contains("__t", F.lit("#s")), F.array_join(F.transform(F.split("__t", " "), token), " ")).otherwise(F.col("__t"))
+
+
+def annotated(frame: DataFrame, text: str, tokens: str, words: str) -> DataFrame:
+    """frame with the tokens and the template of a text; what only may be a name is none."""
+    return templates(marked(frame, text), tokens, words)
+
+
+def _by_join(frame: DataFrame, key: str, listed: DataFrame, how: str) -> tuple[DataFrame, Column]:
+    """Marked frame and its naming: names are the words that `listed` (h) has (left_semi) or lacks (left_anti).
+
+    Only hashes of words that may be names are joined and, with the text's key, come back.
+    """
+    maybe = F.expr(f"array_distinct(transform(filter(split(__t, ' '), w -> startswith(w, '#s')), w -> {_MAYBE}))")
+    names = frame.select(key, F.explode(maybe).alias("h")).join(light(listed), "h", how).groupBy(key).agg(F.collect_set("h").alias("__names"))
+    named = _naming(lambda word: F.coalesce(F.array_contains("__names", word), F.lit(False)))
+    return frame.join(names, key, "left"), named
+
+
+def _among(hashes: list[int]) -> Callable[[Column], Column]:
+    """Is a hash one of a bounded list? The list is one constant: buckets, of which a word looks into its own."""
+    size = 1 << max(4, len(hashes).bit_length())
+    buckets: list[list[int]] = [[] for _ in range(size)]
+    for h in hashes:
+        buckets[h % size].append(h)
+    known = F.from_json(F.lit(json.dumps(buckets)), "array<array<bigint>>")
+    return lambda word: F.array_contains(F.element_at(known, (F.pmod(word, F.lit(size)) + 1).cast("int")), word)
+
+
+def _bitmap(hashes: DataFrame) -> Callable[[Column], Column]:
+    """Can a hash be among those of a frame (h)? A constant of BITS bits whatever the frame's size: it may say yes of others."""
+    rows = hashes.groupBy(F.expr(f"cast(pmod(h, {BITS}) div 64 as int)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(pmod(h, 64) as int)))").alias("bits"))
+    words = [0] * (BITS // 64)
+    for r in rows.collect():  # a row for each 64 bits at most
+        words[r["at"]] = r.bits
+    known = F.from_json(F.lit(json.dumps(words)), "array<bigint>")
+    return lambda word: F.getbit(F.element_at(known, (F.floor(F.pmod(word, F.lit(BITS)) / 64) + 1).cast("int")), F.pmod(word, F.lit(64)).cast("int")) == 1
+
+
 def _hashes(words: str) -> Column:
     return F.expr(f"transform({words}, w -> xxhash64(w))")
 
 
-def _windows(hashes: str, tokens: str, sizes: list[int], known: list[int] | None = None) -> Column:
+def _windows(hashes: str, tokens: str, sizes: list[int], known: str | None = None) -> Column:
     """(hash, pos from 0, size) of the windows of each size over an array of hashed words of a template.
 
     Windows of which more than half are placeholders have the hash of their tokens, with the values.
 
-    With known, the hashes of all words sought, windows with another word at any of four places are
-    passed over: they match nothing.
+    With known, an array saying which words may be among those sought, windows with another word at any of
+    four places are passed over: they match nothing.
     """
     parts = []
     for n in sizes:
         places = f"sequence(0, size({hashes}) - {n})"
         if known is not None:
-            places = f"filter({places}, i -> {' and '.join(_listed(f'get({hashes}, i + {k})', known) for k in sorted({0, n - 1, n // 2, n // 4}))})"
+            places = f"filter({places}, i -> {' and '.join(f'get({known}, i + {k})' for k in sorted({0, n - 1, n // 2, n // 4}))})"
         typed = f"size(filter(slice({hashes}, i + 1, {n}), x -> x in (xxhash64('#n'), xxhash64('#p'), xxhash64('#u'))))"
         own = f"if(2 * {typed} > {n}, xxhash64(slice({tokens}, i + 1, {n})), xxhash64(slice({hashes}, i + 1, {n})))"
         window = f"named_struct('hash', {own}, 'pos', i, 'size', {n})"
@@ -88,15 +140,13 @@ def _windows(hashes: str, tokens: str, sizes: list[int], known: list[int] | None
     return F.expr(parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})")
 
 
-def _named(benchmark: DataFrame) -> Callable[[str], str]:
-    """For items: a capitalised word is a name if it is one elsewhere in the benchmark and no word in small letters."""
-    known = lambda w: f"startswith({w}, '#p')"
-    all_words = annotated(benchmark, "t", "tokens", "words").select(F.explode("tokens").alias("w")).distinct()
-    names = all_words.filter(known("w")).select(F.explode(F.split(F.expr("substr(w, 3)"), "#p")).alias("w")).distinct()
+def _item_names(benchmark: DataFrame) -> DataFrame:
+    """(h) of words that are names in items wherever they stand in capitals: names elsewhere in the benchmark, never in small letters."""
+    all_words = annotated(benchmark.select("t"), "t", "tokens", "words").select(F.explode("tokens").alias("w")).distinct()
+    names = all_words.filter("startswith(w, '#p')").select(F.explode(F.split(F.expr("substr(w, 3)"), "#p")).alias("w")).distinct()
     # what stands in small letters, so that taking out capitals leaves it
     small_ones = benchmark.select(F.explode(F.split(F.coalesce("t", F.lit("")), r"[^\p{L}]+")).alias("w")).filter("w <> '' and w = lower(w)").distinct()
-    hashes = [r.h for r in names.join(small_ones, "w", "left_anti").select(F.xxhash64("w").alias("h")).collect()]
-    return lambda h: _listed(h, hashes)
+    return names.join(small_ones, "w", "left_anti").select(F.xxhash64("w").alias("h"))
 
 
 def _slots(start: str, end: str, shift: str) -> str:
@@ -147,28 +197,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: fl
     spark = docs.sparkSession
     scratch = Scratch(spark, "leaks")
     raw = benchmark.select("item_id", F.col("text").alias("t"))
-    of_item = _named(raw)
-    items = annotated(raw, "t", "item", "words", of_item).filter("words[0] <> ''").distinct()
+    names = scratch.keep(_item_names(raw), "names")
+    of_items, named = _by_join(marked(raw.withColumn("key", text_key(F.col("t"))), "t"), "key", names, "left_semi")
+    items = templates(of_items, "item", "words", named).select("item_id", "item", "words").filter("words[0] <> ''").distinct()
     items = scratch.keep(items.withColumn("n", F.size("words")).withColumn("h", _hashes("words")), "items")
     sizes = [r[0] for r in items.select(F.least("n", F.lit(window)).alias("n")).distinct().orderBy("n").collect()]  # at most `window`
     if not sizes:
         return spark.createDataFrame([], "doc_id long, tkey binary, item_id long, coverage double, verbatim boolean")
-    vocabulary = items.select(F.explode("h").alias("h")).distinct()
-    known = [r.h for r in vocabulary.limit(KNOWN + 1).collect()]
-    listed = len(known) <= KNOWN
-    if not listed:  # of a large benchmark, only the words that stand in capitals
-        capitals = raw.select(F.explode(F.split("t", r"[^\p{L}]+")).alias("w")).filter(r"w rlike '^\\p{Lu}.*\\p{Ll}'")
-        capitals = capitals.select(F.xxhash64(F.lower("w")).alias("h")).distinct().join(vocabulary, "h", "left_semi")
-    literal = known if listed else [r.h for r in capitals.collect()]
-    of_text = lambda h: f"{of_item(h)} or not {_listed(h, literal)}"
+    vocabulary = scratch.keep(items.select(F.explode("h").alias("h")).distinct(), "vocabulary")
+    plain = scratch.keep(vocabulary.join(names, "h", "left_anti"), "plain")
+
+    def told(frame: DataFrame, tokens: str, words: str) -> DataFrame:
+        """Documents' templates. A word that may be a name is one unless the benchmark has it as a plain word."""
+        frame = marked(frame, "text")
+        few = [r.h for r in plain.limit(KNOWN + 1).collect()]
+        if len(few) <= KNOWN:
+            is_plain = _among(few)
+            return templates(frame, tokens, words, _naming(lambda word: ~is_plain(word)))
+        joined, named = _by_join(frame, "tkey", plain, "left_anti")
+        return templates(joined, tokens, words, named).drop("__names")
+
     keys = scratch.keep(
         items.withColumn("x", F.explode(_windows("h", "item", sizes))).filter(F.col("x.size") == F.least("n", F.lit(window)))
         .select("x.hash", "item_id", F.col("x.pos").alias("item_pos"), F.col("x.size").alias("size")).distinct(), "keys")
-    probes = small(scratch.keep(keys.select("hash").distinct(), "probes"))
+    probes = light(scratch.keep(keys.select("hash").distinct(), "probes"))
     own = docs.select(F.col("doc_id").cast("long"), text_key(F.col("text")).alias("tkey"), "text")
-    hashed = annotated(own, "text", "tokens", "words", of_text).withColumn("h", _hashes("words")).drop("words")
-    found = hashed.select("doc_id", "tkey", F.explode(_windows("h", "tokens", sizes, known if listed else None)).alias("x"))
-    seen = found.select("doc_id", "tkey", "x.hash", "x.pos", "x.size").join(probes, ["hash"], "left_semi").join(small(keys), ["hash", "size"])
+    hashed = told(own, "tokens", "words").withColumn("h", _hashes("words")).drop("words")
+    found = hashed.withColumn("k", F.transform("h", _bitmap(vocabulary))).select("doc_id", "tkey", F.explode(_windows("h", "tokens", sizes, "k")).alias("x"))
+    seen = found.select("doc_id", "tkey", "x.hash", "x.pos", "x.size").join(probes, ["hash"], "left_semi").join(light(keys), ["hash", "size"])
     ways = (
         seen.groupBy("doc_id", "tkey", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "size")
         .agg(F.collect_set("item_pos").alias("at"))
@@ -178,9 +234,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: fl
         F.expr("size(array_distinct(flatten(ways.covered)))") >= cover * F.col("n"))
     places = scratch.keep(places.select(
         F.col("doc_id").alias("held_id"), F.col("tkey").alias("held_key"), "item_id", "ways", "item", "n"), "places")
-    # written down: lambdas would compute the tokens anew for each place
-    texts = scratch.keep(annotated(own.join(
-        small(places), F.col("doc_id").eqNullSafe(F.col("held_id")) & (F.col("tkey") == F.col("held_key"))), "text", "words", "template", of_text), "texts")
+    held = F.col("doc_id").eqNullSafe(F.col("held_id")) & (F.col("tkey") == F.col("held_key"))
+    # only keys are sent to where the texts are; tokens are written down, as lambdas would compute them anew for each place
+    holders = scratch.keep(places.select("held_id", "held_key").distinct(), "holders")
+    texts = scratch.keep(told(own.join(light(holders), held, "left_semi"), "words", "template").drop("template"), "texts")
+    texts = texts.join(places, held)
     key = "doc_id", "tkey", "item_id"
     single = texts.select(*key, "item", "words", "n", F.explode("ways").alias("way")).select(*key, "item", "words", "n", "way.*")
     single = single.filter(F.size("covered") >= cover * F.col("n")).withColumn("pairs", F.expr(
@@ -200,7 +258,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     found = Scratch(docs.sparkSession, "leaks").keep(
         leaks(docs, benchmark, **options).select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key")).distinct(), "found")
     return docs.join(
-        small(found), docs["doc_id"].eqNullSafe(F.col("__id")) & (text_key(docs["text"]) == F.col("__key")), "left_anti")
+        light(found), docs["doc_id"].eqNullSafe(F.col("__id")) & (text_key(docs["text"]) == F.col("__key")), "left_anti")
 
 
 def op9_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -1,6 +1,9 @@
 import random
 
-from propgraph.llm.decontaminate import annotated, leaks, without_leaks
+import pytest
+from pyspark.sql import functions as F
+
+from propgraph.llm.decontaminate import _among, _bitmap, annotated, leaks, without_leaks
 
 DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
 QUESTION = "yesterday, Tom bought 3 apples and 12 km of rope while Tom sold 3 pears to his sister Anna before dinner"
@@ -101,11 +104,30 @@ def test_against_brute_force(rows):
     assert found(rows(docs, DOCS), rows(items, ITEMS)) == wanted
 
 
-def test_unrestricted_search_finds_the_same(rows, monkeypatch):
-    docs, items = rows([(1, f"a {QUESTION} b"), (2, "c d")], DOCS), rows([(1, QUESTION)], ITEMS)
-    wanted = found(docs, items)
-    monkeypatch.setattr("propgraph.llm.decontaminate.KNOWN", 3)
-    assert found(docs, items) == wanted != []
+@pytest.mark.parametrize("known", [2, 0])
+def test_size_of_the_benchmark_changes_nothing(rows, monkeypatch, known):
+    """Words looked up by a join say what the constant says, also at the start of sentences."""
+    find = "Now find the number of apples that Tom has, if he bought 3 of them. Find also the pears"
+    items = rows([(1, QUESTION), (2, find), (3, "Tom has 3 apples. How many are left"), (4, "When Tom came, the others asked Tom about nothing"), (None, None)], ITEMS)
+    docs = rows([
+        (1, f"a {QUESTION} b"), (2, "c d"), (3, f"So. {find.replace('Now find', 'Find').replace('. Find', '. find')}"), (3, f"Well. {find}"), (None, find.replace("Now", "Bob").replace("Tom", "Eva")),
+        (4, "Well. Bob has 5 apples. How many are left?"), (5, "Mary Ann has 5 apples.\nHow many are left?"), (6, "When Bob came, the others asked Bob about nothing"),
+        (6, "When Bob came, the others asked Bob about nothing"), (7, "Find the Number. Of Apples. That Tom. Has, if he bought 3 of them"), (8, None)], DOCS)
+    wanted = sorted(map(str, leaks(docs, items).collect()))
+    monkeypatch.setattr("propgraph.llm.decontaminate.KNOWN", known)
+    assert sorted(map(str, leaks(docs, items).collect())) == wanted and len(wanted) >= 6
+
+
+def test_words_sought_are_a_constant(rows):
+    """The words sought are a constant of fixed size, folded once."""
+    docs = rows([(1, QUESTION)], DOCS)
+    maybe = _bitmap(rows([(k * 7919,) for k in range(1000)], "h long"))
+    frame = docs.select(F.transform(F.array(F.xxhash64("doc_id")), maybe).alias("k"))
+    assert "from_json" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    found = rows([(k,) for k in range(-3000, 3000)], "h long")
+    assert found.join(rows([(k,) for k in range(-50, 50)], "h long"), "h").filter(~_bitmap(rows([(k,) for k in range(-50, 50)], "h long"))(F.col("h"))).count() == 0
+    assert found.filter(_bitmap(rows([(k,) for k in range(-50, 50)], "h long"))(F.col("h"))).count() == 100
+    assert sorted(r.h for r in found.filter(_among(list(range(-50, 50)))(F.col("h"))).collect()) == list(range(-50, 50))
 
 
 def test_filter_keeps_clean_rows_as_they_are(rows):
