@@ -45,19 +45,21 @@ def format_chats(rows: DataFrame) -> DataFrame:
     role and text are empty; a null turn comes first; null conv_id is a conversation. Adjacent turns of
     one role share a block: '<|im_start|>role', newline, texts with '<|im_sep|>' between, '<|im_end|>',
     newline. Texts and roles are escaped, so that they hold no control string, and `read_back` returns
-    exactly what was formatted. loss_mask is a run-length mask over the characters of `formatted`: pairs
-    of characters and learned (true: text of the assistant, without marks). Other columns aren't read.
+    exactly what was formatted. loss_mask is a run-length mask over `formatted`: runs of so many characters
+    and bytes, learned or not (true: text of the assistant, without marks). Other columns aren't read.
     A conversation is one value, formatted in one task; without rows there is none.
     """
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     runs = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns")).select("conv_id", _runs(F.col("turns")).alias("runs"))
 
+    def piece(text: Column | None, marks: int, learned: Column) -> Column:
+        """A run of a text, if any, and so many signs of marks, which are ASCII."""
+        chars, size = (F.lit(marks), F.lit(marks)) if text is None else (F.length(text) + marks, F.octet_length(text) + marks)
+        return F.struct(chars.alias("chars"), size.alias("bytes"), learned.alias("learned"))
+
     def mask(run: Column) -> Column:
-        learned = run["role"] == LEARNED
-        own = F.transform(run["parts"], lambda p: F.array(
-            F.struct(F.lit(len(JOINT)).alias("chars"), F.lit(False).alias("learned")), F.struct(F.length(p).alias("chars"), learned.alias("learned"))))
-        head = F.array(F.struct((F.length(run["role"]) + len(START) + 1).alias("chars"), F.lit(False).alias("learned")))
-        tail = F.array(F.struct(F.lit(len(END)).alias("chars"), F.lit(False).alias("learned")))
+        own = F.transform(run["parts"], lambda p: F.array(piece(None, len(JOINT), F.lit(False)), piece(p, 0, run["role"] == LEARNED)))
+        head, tail = F.array(piece(run["role"], len(START) + 1, F.lit(False))), F.array(piece(None, len(END), F.lit(False)))
         return F.concat(head, F.slice(F.flatten(own), F.lit(2), F.size(run["parts"]) * 2 - 1), tail)
 
     return runs.select(
@@ -80,12 +82,20 @@ def read_back(formatted: Column) -> Column:
     return _let(blocks, lambda b: F.transform(F.slice(b, F.lit(2), F.size(b) - 1), run))
 
 
+def learned_texts(chats: DataFrame) -> DataFrame:
+    """chats with `learned`: the texts that loss_mask cuts out of `formatted`, unescaped, one for each learned run."""
+    walk = """aggregate(loss_mask, named_struct('at', 1, 'found', cast(array() as array<struct<at: int, bytes: int>>)), (w, m) ->
+        named_struct('at', w.at + m.bytes, 'found', if(m.learned, array_append(w.found, named_struct('at', w.at, 'bytes', m.bytes)), w.found)), w -> w.found)"""
+    spans = chats.withColumn("__spans", F.expr(walk)).withColumn("__raw", F.col("formatted").cast("binary"))
+    cut = F.transform("__spans", lambda s: unescape(F.substring(F.col("__raw"), s["at"], s["bytes"]).cast("string")))
+    return spans.withColumn("learned", cut).drop("__spans", "__raw")
+
+
 def digests(chats: DataFrame) -> DataFrame:
-    """What is read back from formatted conversations, as counts and digests."""
-    read = chats.select("conv_id", "formatted", read_back(F.col("formatted")).alias("runs"))
+    """What is read back from formatted conversations, and what is under their loss mask, as counts and digests."""
+    read = learned_texts(chats).select("conv_id", "formatted", read_back(F.col("formatted")).alias("runs"), F.array_join("learned", "").alias("loss"))
     turns = _joined(F.col("runs"), lambda r: _joined(r["parts"], lambda t: F.concat(r["role"], F.lit("\n"), t, F.lit("\n"))))
-    loss = _joined(F.filter("runs", lambda r: r["role"] == LEARNED), lambda r: F.array_join(r["parts"], ""))
-    return read.select("conv_id", "formatted", "runs", turns.alias("turns"), loss.alias("loss")).select(
+    return read.select("conv_id", "formatted", "runs", "loss", turns.alias("turns")).select(
         "conv_id", F.expr("aggregate(runs, 0L, (n, r) -> n + size(r.parts))").alias("n_turns"), F.sha2("turns", 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))

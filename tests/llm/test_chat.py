@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -26,12 +27,12 @@ def check(rows, data):
         assert (d.n_turns, d.turns_sha256) == (len(own), hashlib.sha256(turns.encode()).hexdigest())
         assert (d.loss_chars, d.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
         assert d.formatted_chars == len(r.formatted) == sum(m.chars for m in r.loss_mask)
-        at, masked = 0, ""
+        at, masked = 0, []
         for m in r.loss_mask:
-            masked += r.formatted[at : at + m.chars] if m.learned else ""
+            assert len(r.formatted[at : at + m.chars].encode()) == m.bytes
+            masked += [r.formatted[at : at + m.chars]] if m.learned else []
             at += m.chars
-        import re
-        assert re.sub(r"<\\(\\*)\|", r"<\1|", masked) == loss or "<" in loss  # parts meet without their marks
+        assert [re.sub(r"<\\(\\*)\|", r"<\1|", m) for m in masked] == [b for a, b in own if a == "assistant"]
         assert r.formatted.count("<|im_start|>") == 1 + sum(a[0] != b[0] for a, b in zip(own, own[1:]))
 
 
@@ -63,3 +64,15 @@ def test_escapes_leave_no_control_string(rows):
 
 def test_empty_table(rows):
     assert digests(format_chats(rows([], SCHEMA))).count() == 0
+
+
+def test_digests_are_read_through_the_mask(rows):
+    """A mask that is off by a character, or learns another role, gives other digests; it is in the plan."""
+    chats = format_chats(rows([(1, 0, "user", "quéstion"), (1, 1, "assistant", "<|answer"), (1, 2, "user", "x"), (1, 3, "assistant", "more")], SCHEMA))
+    right = digests(chats).first()
+    assert (right.loss_chars, right.loss_sha256) == (12, hashlib.sha256(b"<|answermore").hexdigest())
+    swapped = F.transform("loss_mask", lambda m: m.withField("learned", ~m["learned"]))
+    first = F.concat(F.array(F.get("loss_mask", 0).withField("bytes", F.get("loss_mask", 0)["bytes"] + 1)), F.slice("loss_mask", 2, 99))
+    for broken in (swapped, first, F.slice("loss_mask", 2, 99)):
+        assert digests(chats.withColumn("loss_mask", broken)).first().loss_sha256 != right.loss_sha256
+    assert "learned" in digests(chats)._jdf.queryExecution().optimizedPlan().toString()
