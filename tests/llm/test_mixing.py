@@ -69,6 +69,38 @@ def test_reruns_agree(rows):
     assert runs[0] == runs[1]
 
 
+def test_columns_of_any_name_pass(rows):
+    docs = corpus(4)[:200]
+    plain = {r.doc_id: r.copies for r in mix(rows(docs, SCHEMA)).collect()}
+    more = rows([(*d, 0.5, 2, 3, "h", 1, 7) for d in docs], f"{SCHEMA}, lam double, mean int, bins int, __host string, __size int, __sid int")
+    out = mix(more)
+    assert out.columns == [*more.columns, "size", "source_size", "target", "taken", "copies"]
+    got = out.collect()
+    assert {(r.lam, r.mean, r.bins, r["__host"], r["__size"], r["__sid"]) for r in got} == {(0.5, 2, 3, "h", 1, 7)}
+    assert sum(r.taken for r in got) == pytest.approx(sum(r.size for r in got), rel=0.02) and len(plain) == len(got)
+
+
+def test_repeated_ids_of_other_texts_are_mixed_alike_each_time(rows):
+    docs = [(1, "a", f"w{k} x") for k in range(60)] + [(2, "b", "y " * 30)] * 3
+    runs = [sorted((r.text, r.copies) for r in mix(rows(docs, SCHEMA, p)).collect()) for p in (1, 7)]
+    assert runs[0] == runs[1]
+
+
+def test_multipliers_that_are_not_found_are_an_error(rows, monkeypatch):
+    monkeypatch.setattr("propgraph.llm.mixing.STEPS", 1)
+    with pytest.raises(RuntimeError, match="don't meet their targets"):
+        mix(rows(corpus(), SCHEMA))
+
+
+def test_many_sources(rows):
+    """More sources than one task should see: places in the order of names are those of a sort."""
+    docs = [(k, f"s{k % 700}", "w " * (1 + k % 13)) for k in range(2800)]
+    sizes = defaultdict(int)
+    for _, s, t in docs:
+        sizes[s] += len(t.split())
+    assert {r.source: pytest.approx(r.target) for r in mix(rows(docs, SCHEMA)).collect()} == targets(sizes)
+
+
 def test_edges(rows):
     docs = rows([(1, "a", None, 5), (2, "a", "", 5), (None, None, "x y", 5), (3, "b", " \x0b\u00a0z ", 5), (3, "b", " \x0b\u00a0z ", 5)],
                 "doc_id long, source string, text string, Size int")
