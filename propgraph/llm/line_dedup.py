@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import Scratch, small, table
+from propgraph.llm.common import Scratch, free_prefix, light, table
 
 #: Share of a host's pages above which a line is boilerplate, and pages that must hold it at least.
-RATIO, LEAST_PAGES = 0.1, 5
+RATIO, LEAST_PAGES = 0.1, 2
 
 _KEY = "unhex(md5(cast(btrim(l, ' \\t\\r') as binary)))"
 _BLANK = "btrim(l, ' \\t\\r') = ''"
@@ -29,22 +29,27 @@ def boilerplate(docs: DataFrame, host: str, ratio: float, least: int) -> DataFra
     return met.filter(F.col("n") > ratio * F.col("total")).groupBy("host").agg(F.collect_list("line").alias("keys"))
 
 
-def line_dedup(docs: DataFrame, host: str = "source", ratio: float = RATIO, least: int = LEAST_PAGES) -> DataFrame:
+def line_dedup(docs: DataFrame, host: str = "source", ratio: float = RATIO, least: int = LEAST_PAGES, flag: str | None = None) -> DataFrame:
     """docs with each text's boilerplate lines left out; same rows, same columns.
 
     A line is what stands between newlines, without white space at its ends. It goes from every page of
     a host if more than `ratio` of the host's distinct pages hold it, and `least` of them do. Blank
-    lines stay. A text that would be left without any word stays whole: no document is emptied. A null
-    host is a host of its own; a null text stays null. Repeated rows stay. Only `host` and `text` are
-    read; other columns pass through, whatever their names.
+    lines stay. A text that would be left without any word stays whole: no document is emptied; `flag` names a
+    boolean column to add (or to replace) that is true for these. A null host is a host of its own; a null text
+    stays null. Repeated rows stay. Only `host` and `text` are read; other columns pass through, whatever their names.
     """
-    scratch = Scratch(docs.sparkSession, "lines")
+    scratch, p = Scratch(docs.sparkSession, "lines"), free_prefix(docs)
+    if flag:
+        docs = docs.drop(flag)
     found = scratch.keep(boilerplate(docs.select(host, "text"), host, ratio, least), "boilerplate")
-    found = found.select(F.col("host").alias("__site"), F.col("keys").alias("__keys"))
-    own = docs.join(small(found), F.col(host).eqNullSafe(F.col("__site")), "left")
-    rest = F.expr(f"array_join(filter(split(text, '\\n'), l -> {_BLANK} or not array_contains(__keys, {_KEY})), '\\n')")
-    rest = F.when(F.col("__keys").isNull(), F.col("text")).otherwise(F.when(rest.rlike(r"[^\x20\x09-\x0D]"), rest).otherwise(F.col("text")))
-    return own.select(*(rest.alias("text") if c == "text" else own[c] for c in docs.columns))
+    found = found.select(F.col("host").alias(f"{p}site"), F.col("keys").alias(f"{p}keys"))
+    own = docs.join(light(found), F.col(host).eqNullSafe(F.col(f"{p}site")), "left")
+    rest = F.expr(f"array_join(filter(split(text, '\\n'), l -> {_BLANK} or not array_contains({p}keys, {_KEY})), '\\n')")
+    own = own.withColumn(f"{p}rest", F.when(F.col(f"{p}keys").isNull(), F.col("text")).otherwise(rest))
+    whole = (F.col(f"{p}rest") != F.col("text")) & ~F.col(f"{p}rest").rlike(r"[^\x20\x09-\x0D]")
+    text = F.when(whole, F.col("text")).otherwise(F.col(f"{p}rest")).alias("text")
+    flags = [F.coalesce(whole, F.lit(False)).alias(flag)] if flag else []
+    return own.select(*(text if c == "text" else own[c] for c in docs.columns), *flags)
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:

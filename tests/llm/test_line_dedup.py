@@ -36,5 +36,17 @@ def test_no_document_is_emptied_and_other_columns_pass(rows):
     assert {(r.doc_id, r.text, r.keys) for r in out.collect()} == {*((k, "only this", k) for k in range(8)), (9, "and this", 9)}
 
 
+def test_pages_of_boilerplate_only_are_flagged(rows):
+    docs = rows([(k, "a", "menu\nhome" if k < 4 else f"menu\nown {k}", 1, 2) for k in range(9)] + [(9, "a", None, 1, 2), (10, "a", "", 1, 2)],
+                "doc_id long, source string, text string, Boiler int, __keys int")
+    out = line_dedup(docs, flag="boiler")
+    assert out.columns == ["doc_id", "source", "text", "__keys", "boiler"]
+    assert {r.doc_id: (r.text, r.boiler) for r in out.collect()} == {
+        **{k: ("home", False) for k in range(4)},
+        **{k: (f"own {k}", False) for k in range(4, 9)}, 9: (None, False), 10: ("", False)}
+    alike = rows([(k, "a", f"menu\nhome\n{' ' * k}") for k in range(6)], SCHEMA)
+    assert [r.boiler for r in line_dedup(alike, flag="boiler").collect()] == [True] * 6
+
+
 def test_empty_table(rows):
     assert line_dedup(rows([], SCHEMA)).count() == 0
