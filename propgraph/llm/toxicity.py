@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import Scratch, table, with_fields
+from propgraph.llm.common import Scratch, table, text_key, with_fields
 
 #: Labelled documents that the model is fitted on, at most, of each label (those of least hash).
 SAMPLE_TOXIC, SAMPLE_CLEAN = 3000, 6000
@@ -143,16 +143,19 @@ def judge(text: str, words: _Words, stems: _Words, bias: float) -> tuple[float,
 def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> dict[str, float]:
     """Fit on labelled rows whose crc32(doc_id) mod 3 isn't 1: bounded samples of each label, whole texts.
 
-    The sample is fitted in one task; the driver gets the weights, bounded by the sample's words.
+    The sample is fitted in one task; the driver gets the weights, bounded by the sample's words. A doc_id that
+    is labelled both ways isn't learned from; one that stands with several texts gives that of the least digest, once.
     """
     own = (
         labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic"))
-        .filter("doc_id is not null and toxic in (0, 1) and pmod(crc32(cast(doc_id as string)), 3) <> 1").distinct())
+        .filter("doc_id is not null and toxic in (0, 1) and pmod(crc32(cast(doc_id as string)), 3) <> 1")
+        .groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).filter("toxic = most").drop("most"))
     order = F.xxhash64("doc_id"), "doc_id"
     sample = own.filter("toxic = 1").orderBy(*order).limit(toxic).union(own.filter("toxic = 0").orderBy(*order).limit(clean))
     scratch = Scratch(docs.sparkSession, "toxicity")
     sample = scratch.keep(sample, "sample")
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    texts = texts.groupBy("doc_id").agg(F.min_by("text", text_key(F.col("text"))).alias("text"), F.first("toxic").alias("toxic"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((r["doc_id"], r["text"], r["toxic"]) for b in batches for r in b.to_pylist())
