@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import SPACE, Scratch, small, table, text_key
+from propgraph.llm.common import SPACE, Scratch, light, table, text_key
 
 #: Labelled findings that the forest is trained on, at most, of each label (those of least hash).
 SAMPLE = 5_000
@@ -21,8 +21,10 @@ TREES, DEPTH, SEED = 24, 6, 7
 THRESHOLD = 0.5
 #: Words before and after a candidate that are kept with it.
 AROUND = 5
-#: Letters of a word of the dictionary, at least and at most.
-LETTERS = 4, 20
+#: Letters of a word of the dictionary, at least and at most; characters of a candidate that are looked at together.
+LETTERS, PIECE = (4, 20), 64
+#: Characters of a candidate up to which none is shown, and how many are shown of longer ones.
+HIDDEN, SHOWN = 12, 4
 
 _RUN = r"[A-Za-z0-9+/_-]{16,}"
 #: Sixteen characters of which one is a digit, or twenty.
@@ -102,19 +104,25 @@ def featured(found: DataFrame, grams: DataFrame) -> DataFrame:
     c = F.col("candidate")
     share = lambda pattern: F.regexp_count(c, F.lit(pattern)) / F.length(c)
     key = F.struct("doc_id", "tkey", "word", "nth")
-    unit = found.select(c.alias("c")).distinct()
-    parts = f"""flatten(transform(sequence(1, length(c)), i -> transform(filter(sequence({LETTERS[0]}, {LETTERS[1]}), k -> i + k - 1 <= length(c)),
-        k -> named_struct('i', i, 'k', k, 'gram', lower(substring(c, i, k))))))"""
-    pairs = "transform(filter(sequence(1, length(c)), i -> i < length(c)), i -> named_struct('i', i, 'k', 2, 'gram', lower(substring(c, i, 2))))"
-    unit = unit.select("c", F.explode(F.expr(f"concat({pairs}, filter({parts}, x -> x.gram rlike '^[a-z]+$'))")).alias("x")).select("c", "x.*")
-    sums = unit.join(small(grams), "gram", "left").groupBy("c").agg(
-        F.avg(F.when(F.col("k") == 2, F.coalesce("weight", F.lit(-7.0)))).alias("likelihood"),
-        F.collect_set(F.when((F.col("k") > 2) & F.col("weight").isNotNull(), F.struct("i", "k"))).alias("held"))
-    sums = sums.select("c", "likelihood", F.expr("size(array_distinct(flatten(transform(held, x -> sequence(x.i, x.i + x.k - 1))))) / length(c)").alias("coverage"))
+    unit = found.select(c.alias("c")).distinct().withColumn("digest", text_key(F.col("c")))
+    # pieces of fixed length with what stands around them: each is looked at by itself, so long candidates cost in proportion
+    pieces = F.regexp_extract_all(F.lower("c"), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    unit = unit.select("digest", F.length("c").alias("n"), pieces.alias("p")).select("digest", "n", "p", F.posexplode("p").alias("at", "piece"))
+    before, after = F.coalesce(F.right(F.get("p", F.col("at") - 1), F.lit(LETTERS[1] - 1)), F.lit("")), F.coalesce(F.left(F.get("p", F.col("at") + 1), F.lit(LETTERS[1] - 1)), F.lit(""))
+    unit = unit.select("digest", "n", "at", F.concat(before, "piece", after).alias("w"), (F.length(before) + 1).alias("a"), (F.length(before) + F.length("piece")).alias("b"))
+    parts = f"""filter(flatten(transform(sequence(1, length(w)), i -> transform(filter(sequence({LETTERS[0]}, {LETTERS[1]}), k -> i <= b and i + k > a and i + k - 1 <= length(w)),
+        k -> named_struct('i', i, 'k', k, 'gram', substring(w, i, k))))), x -> x.gram rlike '^[a-z]+$')"""
+    pairs = "transform(filter(sequence(a, b), i -> i < length(w)), i -> named_struct('i', i, 'k', 2, 'gram', substring(w, i, 2)))"
+    grams_of = unit.select("digest", "n", "at", "a", "b", F.explode(F.expr(f"concat({pairs}, {parts})")).alias("x")).select("digest", "n", "at", "a", "b", "x.*")
+    held = F.when((F.col("k") > 2) & F.col("weight").isNotNull(), F.struct(F.greatest("i", "a").alias("i"), F.least(F.col("i") + F.col("k") - 1, "b").alias("j")))
+    sums = grams_of.join(light(grams), "gram", "left").groupBy("digest", "n", "at").agg(
+        F.sum(F.when(F.col("k") == 2, F.coalesce("weight", F.lit(-7.0)))).alias("sum"), F.count_if(F.col("k") == 2).alias("pairs"), F.collect_set(held).alias("held"))
+    covered = F.expr("size(array_distinct(flatten(transform(held, x -> sequence(x.i, x.j)))))")
+    sums = sums.groupBy("digest").agg((F.sum("sum") / F.sum("pairs")).alias("likelihood"), (F.sum(covered) / F.first("n")).alias("coverage"))
     near = F.concat(F.coalesce(F.get("before", F.size("before") - 2), F.lit("")), F.lit(" "), F.coalesce(F.get("before", F.size("before") - 1), F.lit("")), F.lit(" "), F.col("head"))
     path = F.coalesce("path", F.lit(""))
     flag = lambda condition: F.coalesce(condition.cast("double"), F.lit(0.0))
-    found = found.join(sums, c == F.col("c"), "left").drop("c").fillna({"likelihood": -7.0, "coverage": 0.0})
+    found = found.join(sums, text_key(c) == F.col("digest"), "left").drop("digest").fillna({"likelihood": -7.0, "coverage": 0.0})
     return found.select(
         "*", key.alias("key"), F.length(c).cast("double").alias("length"), share("[0-9]").alias("digits"), share("[A-Z]").alias("uppers"),
         share("[aeiouAEIOU]").alias("vowels"), (F.size(F.array_distinct(F.split(c, ""))) / F.length(c)).alias("distinct"),
@@ -169,9 +177,15 @@ def secret_scan(docs: DataFrame, path: str = "source", labels: DataFrame | None
     return scored.select("doc_id", "word", "nth", "candidate", "label", "score", (F.col("score") >= threshold).alias("secret"))
 
 
+def masked(candidate: Column) -> Column:
+    """Stars for a candidate's characters, but for the first of a long one."""
+    shown = F.when(F.length(candidate) >= HIDDEN, F.left(candidate, F.lit(SHOWN))).otherwise(F.lit(""))
+    return F.rpad(shown, F.length(candidate), "*")
+
+
 def op1_secret_scan(spark, sf_dir: str) -> DataFrame:
-    """All findings of the documents, judged; candidates are shown by their first characters and a digest."""
+    """All findings of the documents, judged; of candidates a digest is shown, and of longer ones the first characters."""
     found = secret_scan(table(spark, sf_dir, "documents"))
     return found.select(
-        "doc_id", "word", "nth", F.rpad(F.left("candidate", F.lit(4)), F.length("candidate"), "*").alias("masked"),
+        "doc_id", "word", "nth", masked(F.col("candidate")).alias("masked"),
         F.sha2("candidate", 256).alias("sha256"), "score", "secret")
