@@ -27,6 +27,11 @@ BUCKET = "_bucket"
 BOOKKEEPING = (VISIBILITY, HIDDEN, BUCKET)
 
 
+def length_column(name: str) -> str:
+    """Where a stored duration's length is kept."""
+    return f"{name}@seconds"
+
+
 def type_column(element_type: str) -> str:
     """The column that names an element's concept or label."""
     return CONCEPT_TYPE if element_type == VERTEX else EDGE_LABEL

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
+from dataclasses import replace
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_json_string
 
-from propgraph.columns import EDGE, VERTEX, column_or_null, named, type_column
+from propgraph.columns import EDGE, VERTEX, column_or_null, length_column, named, type_column
+from propgraph.functions.durations import duration_seconds
 from propgraph.functions.types import holds_duration
 from propgraph.sources.elements import PropertyGraph, read_elements
 
@@ -75,6 +79,25 @@ def match_vertices(
     return _match(graph, VERTEX, concept, properties, predicate, options)
 
 
+def lasting(
+    graph: PropertyGraph, element_type: str, name: str, low: Decimal | int | None = None, high: Decimal | int | None = None, **options,
+) -> DataFrame:
+    """Elements whose duration property is at least `low` and at most `high` seconds long (months as in `duration_seconds`).
+
+    Where the length is stored beside the duration, the scan skips by it what can't be in the range.
+    `options` are those of `read_elements`.
+    """
+    frame, bounds = graph.frame(element_type), ((low, 0), (high, 1))
+    for bound, upper in bounds:
+        if bound is not None:
+            length = duration_seconds(named(name))
+            frame = frame.filter(length <= F.lit(bound) if upper else length >= F.lit(bound))
+            if length_column(name) in frame.columns:
+                whole = F.lit(math.floor(bound)).cast("bigint")
+                frame = frame.filter(named(length_column(name)) <= whole if upper else named(length_column(name)) >= whole)
+    return read_elements(replace(graph, **{"vertices" if element_type == VERTEX else "edges": frame}), element_type, **options)
+
+
 def match_edges(
     graph: PropertyGraph, label: str | None = None, properties: Mapping[str, object] | None = None,
     predicate: Column | str | None = None, **options,

@@ -214,8 +214,19 @@ ORACLES["duration_order"] = """
 WITH d AS (SELECT 'o' || o_orderkey AS _id, (o_orderkey % 14) * 2629746 + (o_orderkey % 50) * 3600 AS length FROM orders)
 SELECT _id, length FROM d WHERE length > 20000000"""
 
+ORACLES["duration_range"] = """
+SELECT 'o' || o_orderkey AS _id, CAST((o_orderkey % 90) * 86400 + 0.5 AS DOUBLE) AS length FROM orders
+WHERE (o_orderkey % 90) * 86400 + 0.5 BETWEEN 30 * 86400 AND 60 * 86400"""
+
 # ---- writes
 
+ORACLES["insert_patterns"] = """
+SELECT 'placed|customer:' || o_custkey || '|order:' || o_orderkey AS _id, 'placed' AS _edgeLabel, 'customer:' || o_custkey AS _sid,
+  'order:' || o_orderkey AS _did, o_orderstatus AS status, o_totalprice AS price
+FROM orders JOIN customer ON c_custkey = o_custkey
+UNION ALL SELECT 'order:' || o_orderkey, 'order', NULL, NULL, NULL, o_totalprice FROM orders JOIN customer ON c_custkey = o_custkey
+UNION ALL SELECT 'customer:' || c_custkey, 'customer', NULL, NULL, NULL, NULL FROM customer"""
+
 _PEOPLE = "people AS (SELECT * FROM v WHERE _conceptType IN ('customer', 'supplier'))"
 _C = "SELECT {} FROM v WHERE _conceptType = 'customer'"
 

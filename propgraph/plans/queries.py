@@ -21,8 +21,9 @@ from propgraph.operators.catalog import (
     CONCEPT, RELATIONSHIP, Catalog, drop_property, drop_type, infer_schema, list_concepts, list_labels,
     list_properties, properties_frame, register_properties, register_types, types_frame,
 )
-from propgraph.api import load, save
-from propgraph.operators.match import match_edges, match_vertices, where
+from propgraph.api import create_patterns, load, save
+from propgraph.operators.match import lasting, match_edges, match_vertices, where
+from propgraph.operators.patterns import Link, Node
 from propgraph.operators.references import edge_labels, edge_references
 from propgraph.options import GraphOptions
 from propgraph.plans.scratch import scratch_root
@@ -375,6 +376,17 @@ def duration_order(spark, sf_dir):
     return where(_stored(spark, batch, "order"), length > 20_000_000).select(ID, length.cast("bigint").alias("length"))
 
 
+@query
+def duration_range(spark, sf_dir):
+    """Stored durations within a range, which the scan skips by the length beside them."""
+    batch = t.table(spark, sf_dir, "orders").select(
+        key("o", "o_orderkey").alias(ID), make_duration(days=F.pmod(F.col("o_orderkey"), F.lit(90)), seconds=F.lit(0.5).cast("decimal(2,1)")).alias("span"))
+    store = GraphStore(spark, scratch_root(spark))
+    store.write(batch, GraphOptions(VERTEX, concept_type="order"))
+    found = lasting(store.graph(), VERTEX, "span", 30 * 86400, 60 * 86400)
+    return found.select(ID, duration_seconds(F.col("span")).cast("double").alias("length"))
+
+
 # ---- writes ------------------------------------------------------------------------------
 
 CUSTOMER = GraphOptions(VERTEX, concept_type="customer")
@@ -466,6 +478,22 @@ def insert_edges(spark, sf_dir):
     return _state(store, EDGE, SOURCE_ID, DEST_ID, "odate", "quantity", "lines")
 
 
+@query
+def insert_patterns(spark, sf_dir):
+    """Customers with their orders from one call, run twice: the second changes nothing."""
+    customers, orders = (t.table(spark, sf_dir, name) for name in ("customer", "orders"))
+    rows = customers.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    nodes = {"who": Node("customer", ["c_custkey"], {"name": "c_name"}), "what": Node("order", ["o_orderkey"], {"price": "o_totalprice"})}
+    root = scratch_root(spark)
+    for _ in range(2):
+        create_patterns(rows, root, nodes, [Link("who", "placed", "what", {"status": "o_orderstatus"})])
+    graph = GraphStore(spark, root).graph()
+    ends = read_elements(graph, VERTEX).select(F.col(ID).alias(DEST_ID), "price")
+    links = read_elements(graph, EDGE).select(ID, EDGE_LABEL, SOURCE_ID, DEST_ID, "status").join(ends, DEST_ID)
+    return links.unionByName(
+        read_elements(graph, VERTEX).select(ID, F.col(CONCEPT_TYPE).alias(EDGE_LABEL), "price"), allowMissingColumns=True)
+
+
 @query
 def insert_edges_generated_ids(spark, sf_dir):
     """Edges without ids get new ones: whole numbers, each once."""

@@ -10,9 +10,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from propgraph.columns import BUCKET, HIDDEN, ID, VERTEX, VISIBILITY, named, reserved_columns, type_column
+from propgraph.columns import BUCKET, HIDDEN, ID, VERTEX, VISIBILITY, length_column, named, reserved_columns, type_column
+from propgraph.functions.durations import duration_seconds
 from propgraph.operators.catalog import Catalog
 from propgraph.sources.files import empty, read_table
 
@@ -32,12 +33,16 @@ class ElementTable:
         names = [c for c in reserved_columns(element_type) if c != self.kind]
         fields = [*(StructField(c, StringType()) for c in (*names, VISIBILITY)), StructField(HIDDEN, BooleanType())]
         fields += [StructField(p.column, p.spark_type) for p in catalog.properties]
+        #: Durations have their length beside them, in whole seconds, so that files can be skipped by it.
+        self.lengths = {length_column(p.name): length_column(p.column) for p in catalog.properties if p.type == "DURATION"}
+        fields += [StructField(c, LongType()) for c in self.lengths.values()]
         schema = StructType([*fields, StructField(self.kind, StringType()), StructField(BUCKET, IntegerType())])
         found = read_table(spark, self.path, schema)
         self.written = found is not None
         found = found if self.written else empty(spark, schema)
         columns = [named(c) for c in (*names, self.kind, VISIBILITY, HIDDEN, BUCKET)]
-        #: Stored elements under their property names, with the bucket each is in.
+        columns += [named(c).alias(n) for n, c in self.lengths.items()]
+        #: Stored elements under their property names, with the bucket each is in and the lengths of durations.
         self.scan = found.filter(named(ID).isNotNull()).select(*columns, *[named(p.column).alias(p.name) for p in catalog.properties])
 
     def partitions(self, frame: DataFrame) -> Partitions:
@@ -62,7 +67,10 @@ class ElementTable:
         if touched is not None:
             marks = StructType([StructField(self.kind, StringType()), StructField(BUCKET, IntegerType())])
             frame = frame.unionByName(self.spark.createDataFrame(sorted(touched), marks), allowMissingColumns=True)
-        columns = {p.name: p.column for p in self.catalog.properties}
+        columns = {p.name: p.column for p in self.catalog.properties} | self.lengths
+        for p in self.catalog.properties:
+            if p.type == "DURATION" and p.name in frame.columns:
+                frame = frame.withColumn(length_column(p.name), F.floor(duration_seconds(named(p.name))).cast("bigint"))
         frame = frame.select(*[named(c).alias(columns.get(c, c)) for c in frame.columns])
         (
             frame.hint("rebalance", named(self.kind), F.col(BUCKET)).sortWithinPartitions(self.kind, BUCKET, ID)
