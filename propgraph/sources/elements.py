@@ -195,5 +195,7 @@ def read_elements(
         graph.frame(element_type), options.authorizations, options.fetch_hints == HINT_WITH_HIDDEN, graph.expressions
     )
     fetched = None if options.fetch_hints in HINTS_WITH_PROPERTIES else reserved_columns(element_type)
-    frame = distribute(frame, options.partitioning, partitions, max_ranges, graph.stored)
-    return project(frame, schema or infer_schema(graph.catalog, element_type), fetched)
+    schema = schema or infer_schema(graph.catalog, element_type)
+    if graph.stored:  # by filters below the projection
+        return project(distribute(frame, options.partitioning, partitions, max_ranges, True), schema, fetched)
+    return distribute(project(frame, schema, fetched), options.partitioning, partitions, max_ranges)
