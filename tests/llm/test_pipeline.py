@@ -15,7 +15,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 def test_each_operator_and_the_pipeline_are_registered():
     names = [n.split("_")[0] for n in QUERIES]
-    assert names == [f"op{k}" for k in range(1, 11)] + ["pipeline"]
+    assert names == [f"op{k}" for k in range(1, 14)] + ["pipeline"]
     assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "jaccard_join", "decontaminate", "mixing"]
 
