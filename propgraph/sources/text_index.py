@@ -1,18 +1,20 @@
 """An index of a stored text property: which elements hold which three characters in a row.
 
 The postings lie in partitions like those of the elements, `<kind of type>=<type>/_bucket=<b>`, sorted by gram, and
-each has a mark: a digest of the element files that it was made of. A search takes the elements that have all grams
-of what is sought from the postings, and looks into the texts of these only. Partitions whose elements changed since
-are searched whole, until `refresh` writes their postings anew; so results never depend on the index.
+each has a mark: a digest of the element files that it was made of. A row holds a gram and the ids of elements that
+have it, out of a few MB of texts: the elements of a gram are dealt over several rows. A search takes the elements
+that have all grams of what is sought from the postings, and looks into the texts of these only. Partitions whose
+elements changed since are searched whole, until `refresh` writes their postings anew; so results never depend on the
+index.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from propgraph.columns import BUCKET, ID, named
+from propgraph.columns import BUCKET, ID, named, null_of
 from propgraph.sources.element_table import ElementTable, Partitions
 from propgraph.sources.files import empty, read_table
 
@@ -22,11 +24,11 @@ GRAM, GRAMS = 3, 16
 NAMED = 1000
 #: The hint of properties whose texts are indexed.
 HINT = "ALL"
-_GRAM, _MARK = "__gram", "__mark"
+_GRAM, _IDS, _MARK = "__gram", "__ids", "__mark"
 
 
 def grams_of(text: Column) -> Column:
-    """The different grams of a text, found in one pass."""
+    """The different grams of a text, found in one pass; `grams.py` finds the same for whole batches."""
     return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1)))
 
 
@@ -44,9 +46,9 @@ class TextIndex:
         if known is None or known.text_hint != HINT:
             raise ValueError(f"Property '{name}' has no text index")
         self.table, self.name, self.spark = table, name, table.spark
-        self.path = f"{table.path}-index/{known.column.encode().hex()}"
+        self.path = f"{table.path}-grams/{known.column.encode().hex()}"
         place = [StructField(table.kind, StringType()), StructField(BUCKET, IntegerType())]
-        self._postings = StructType([StructField(ID, StringType()), StructField(_GRAM, StringType()), *place])
+        self._postings = StructType([StructField(_GRAM, StringType()), StructField(_IDS, ArrayType(StringType())), *place])
         self._marks = StructType([StructField(_MARK, LongType()), *place])
 
     def _read(self, what: str, schema: StructType) -> DataFrame:
@@ -73,23 +75,29 @@ class TextIndex:
         return fresh, set(now) - fresh
 
     def refresh(self) -> None:
-        """Write the postings of changed partitions; marks come last, so a run that dies leaves them out of date."""
+        """Write the postings of changed partitions; marks come last, so a run that dies leaves them out of date.
+
+        A file of elements is of one partition, so where its texts are read its postings are written: no shuffle.
+        """
         now, (_, stale) = self._now(), self.changed()
         if not stale:
             return
+        from propgraph.sources.grams import postings_task  # numpy is needed here only
+
         kind = self.table.kind
-        texts = self.table.scan.filter(self.table.among(stale)).filter(F.length(named(self.name)) >= GRAM)
-        rows = texts.select(ID, F.explode(grams_of(named(self.name))).alias(_GRAM), kind, BUCKET)
+        texts = self.table.scan.filter(self.table.among(stale)).filter(F.octet_length(named(self.name)) >= GRAM)
+        texts = texts.select(ID, named(self.name).cast("binary"), kind, BUCKET)
+        rows = texts.mapInArrow(postings_task(GRAM, self._postings.names), self._postings)
         marks = self.spark.createDataFrame([(now[p], *p) for p in sorted(stale)], self._marks)
-        none = marks.select(F.lit(None).cast("string").alias(ID), F.lit(None).cast("string").alias(_GRAM), kind, BUCKET)
-        postings = rows.unionByName(none).hint("rebalance", named(kind), F.col(BUCKET))
-        self._write("postings", postings.sortWithinPartitions(kind, BUCKET, _GRAM, ID))
+        none = marks.select(*[null_of(f.dataType).alias(f.name) for f in self._postings.fields[:2]], kind, BUCKET)
+        self._write("postings", rows.unionByName(none.coalesce(1)).sortWithinPartitions(kind, BUCKET, _GRAM))
         self._write("marks", marks.coalesce(1))
 
     def candidates(self, needle: str, fresh: Partitions) -> DataFrame:
         """(_id, type, _bucket) of elements in fresh partitions that have all grams sought."""
         grams = grams_sought(needle)
         rows = self._read("postings", self._postings).filter(self.table.among(fresh)).filter(F.col(_GRAM).isin(*grams))
+        rows = rows.select(F.explode(_IDS).alias(ID), self.table.kind, BUCKET)
         return rows.groupBy(ID, self.table.kind, BUCKET).agg(F.count("*").alias("n")).filter(F.col("n") == len(grams)).drop("n")
 
     def containing(self, needle: str) -> DataFrame:

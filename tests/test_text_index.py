@@ -99,3 +99,42 @@ def test_grams(spark):
     got = spark.createDataFrame([(text,), ("ab",), ("",), ("aaaa",)], "t string").select(grams_of(F.col("t")).alias("g")).collect()
     assert set(grams_sought(text)) <= set(got[0].g) and [r.g for r in got[1:]] == [[], [], ["aaa"]]
     assert grams_sought("ab") == [] and grams_sought("abcd") == ["abc", "bcd"] and len(grams_sought("".join(map(chr, range(97, 190))))) <= 16
+
+
+def test_postings_hold_many_elements_a_row_and_are_not_shuffled(spark, store):
+    """A row for each gram of a few MB of texts, not for each gram of each text; no exchange before the write."""
+    data = [(f"n{k}", f"a number of words, {k % 7}") for k in range(4000)]
+    written(spark, store, data)
+    index = TextIndex(store._table(VERTEX, store.catalog()), "body")
+    plans, write = [], index._write
+    index._write = lambda what, frame: (plans.append(frame._jdf.queryExecution().executedPlan().toString()), write(what, frame))
+    index.refresh()
+    assert "Exchange" not in plans[0]
+    found = index._read("postings", index._postings).filter("__gram IS NOT NULL")
+    grams = spark.createDataFrame(data, "_id string, body string").select("_id", F.explode(grams_of(F.col("body"))).alias("g"))
+    assert found.count() < grams.count() / 50
+    held = found.select(F.explode("__ids").alias("_id"), F.col("__gram").alias("g"))
+    assert held.count() == grams.count() and held.exceptAll(grams).isEmpty()
+
+
+@pytest.mark.parametrize("piece, width", [(1, 3), (40, 3), (4 << 20, 3), (4 << 20, 4)])
+def test_pieces_of_batches(monkeypatch, piece, width):
+    """Whatever the pieces, types and buckets, each gram of each text once; also letters too many for one number, and bytes that are no text."""
+    import pyarrow as pa
+
+    from propgraph.sources import grams
+
+    monkeypatch.setattr(grams, "PIECE_BYTES", piece)
+    r = random.Random(3)
+    wide = "".join(map(chr, range(0x100, 0xA000)))
+    bodies = [" ".join(r.choices(WORDS, k=r.randint(0, 9))) for _ in range(40)] + [wide, wide[::-1], "", "ab", "aaaa"] * 2
+    kinds, buckets = [f"T{k // 17}" for k in range(len(bodies))], [k // 9 for k in range(len(bodies))]
+    rows = [[f"n{k}" for k in range(len(bodies))], [b.encode() for b in bodies], kinds, buckets]
+    rows = [[*own, last] for own, last in zip(rows, ("odd", b"\xffabc\xe2", "T9", 9))]
+    types = (pa.string(), pa.binary(), pa.string(), pa.int32())
+    batch = pa.RecordBatch.from_arrays([pa.array(own, t) for own, t in zip(rows, types)], names=["i", "b", "k", "n"])
+    task = grams.postings_task(width, ["gram", "ids", "kind", "bucket"])
+    got = [(row["gram"], i, row["kind"], row["bucket"]) for out in task(iter([batch])) for row in out.to_pylist() for i in row["ids"]]
+    whole = [*zip(bodies, *rows[:1], kinds, buckets), ("\ufffdabc\ufffd", "odd", "T9", 9)]
+    wanted = {(b[k : k + width], *own) for b, *own in whole for k in range(len(b) - width + 1)}
+    assert len(got) == len(wanted) and set(got) == wanted
